@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import bpe_codec, common, exact_dedup, mixing, quality, simhash
+from linkloom.llm import (
+    bpe_codec,
+    chat_format,
+    common,
+    exact_dedup,
+    fertility,
+    language_id,
+    mixing,
+    quality,
+    simhash,
+    token_store,
+    url_filter,
+)
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+END_ID = 2
+
+URL_RULES = {
+    "com/en/": "block",
+    "example.com/en/7": "allow",
+    "net/de/": "block",
+    "example.net/de/8": "allow",
+    "org/es/": "block",
+}
 
 #: Target weights of the mix; sources not named share weight MIX_REST.
 MIX_WEIGHTS = (
@@ -26,19 +50,49 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.
     return quality.fit(docs, labels.filter(common.bucket_of(F.col("doc_id"), 3) != 1))
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(common.table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs, MIX_WEIGHTS, MIX_REST, MIX_BLOCK)
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{common.shared_folder(spark)}/linkloom-tokens-{uuid.uuid4().hex}"
+    token_store.write_tokens(common.table(spark, sf_dir, "documents"), path, VOCABULARY, END_ID)
+    return token_store.read_documents(spark, path)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat_format.read_back(common.written(chat_format.format_conversations(rows.union(own)), "chat"))
+
+
+def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(common.table(spark, sf_dir, "documents"), PIECES, keep=["doc_id"])
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(common.table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(common.bucket_of(F.col("doc_id"), 4) != 2))
+    found = language_id.identify(docs, model, keep=["doc_id"])
+    return found.select(
+        "doc_id", (common.bucket_of(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return bpe_codec.bpe_encode(docs, VOCABULARY, keep=["doc_id"], with_ids=False)
@@ -53,11 +107,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_mix_sources": op2_mix_sources,
-    "op4_simhash_near_dedup": op4_simhash_near_dedup,
-    "op7_exact_dedup": op7_exact_dedup,
-    "op9_bpe_codec": op9_bpe_codec,
-    "op10_quality_classifier": op10_quality_classifier,
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_mix_sources,
+        op3_token_files,
+        op4_simhash_near_dedup,
+        op5_chat_format,
+        op6_fertility_rules,
+        op7_exact_dedup,
+        op8_language_id,
+        op9_bpe_codec,
+        op10_quality_classifier,
+    )
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
