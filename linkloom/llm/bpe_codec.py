@@ -28,22 +28,23 @@ DIGESTS = (
 _MADE: dict[str, wordbpe.Remembered] = {}
 
 
-def _entries(bpe: wordbpe.WordBpe, words: list[str]) -> list[tuple[int, bytes, bytes, bytes]]:
-    """Of each word: its number of codes, the codes as binary and as decimal
+def _entries(bpe: wordbpe.WordBpe, codes: list[list[int]]) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Of each word's codes: their number, the codes as binary and as decimal
     text, and what they decode to."""
-    return [_entry(bpe, ids) for ids in bpe.merge(words)]
-
-
-def _entry(bpe: wordbpe.WordBpe, ids: list[int]) -> tuple[int, bytes, bytes, bytes]:
-    binary = np.array(ids, dtype="<i4").tobytes()
-    return len(ids), binary, " ".join(map(str, ids)).encode(), bpe.decode(ids).encode("utf-8")
+    binary = np.array([i for ids in codes for i in ids], dtype="<i4").tobytes()
+    out, at = [], 0
+    for ids in codes:
+        to = at + 4 * len(ids)
+        out.append((len(ids), binary[at:to], " ".join(map(str, ids)).encode(), bpe.decode(ids).encode()))
+        at = to
+    return out
 
 
 def _remembered(path: str) -> tuple[wordbpe.WordBpe, wordbpe.Remembered]:
     bpe = wordbpe.load(path)
     if path not in _MADE:
-        seed = {t: _entry(bpe, ids) for t, ids in bpe.special.items()}
-        _MADE[path] = wordbpe.Remembered(lambda words: _entries(bpe, words), seed)
+        seed = dict(zip(bpe.special, _entries(bpe, list(bpe.special.values())), strict=True))
+        _MADE[path] = wordbpe.Remembered(lambda pieces: _entries(bpe, bpe.merge(pieces)), seed)
     return bpe, _MADE[path]
 
 
@@ -62,11 +63,9 @@ def bpe_encode(
         bpe, memory = _remembered(vocabulary)
 
         def fn(texts: list) -> list[pa.Array]:
-            documents = [bpe.words(t) if t else [] for t in texts]
-            known = memory.look(documents)
+            documents = [bpe.pieces(t) if t else [] for t in texts]
             sizes, binary, ids_sha, text_sha = [], [], [], []
-            for words in documents:
-                found = [known[w] for w in words]
+            for found in memory.look(documents):
                 sizes.append(sum([f[0] for f in found]))
                 ids_sha.append(hashlib.sha256(b" ".join([f[2] for f in found])).hexdigest())
                 text_sha.append(hashlib.sha256(b" ".join([f[3] for f in found])).hexdigest())
@@ -98,8 +97,8 @@ def bpe_decode(
     def run(batches):
         bpe = wordbpe.load(vocabulary)
         for batch in batches:
-            for lo in range(0, batch.num_rows, common.ROWS):
-                part = batch.slice(lo, common.ROWS)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
                 texts = [bpe.decode(ids or []) for ids in part.column(len(kept)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 

@@ -9,12 +9,13 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of a batch that are turned into Python strings at a time.
-ROWS = 64
+#: Rows of a batch, and bytes of their texts, that are Python strings at a time.
+ROWS, BYTES = 1024, 1 << 20
 
 
 def quoted(name: str) -> Column:
@@ -36,6 +37,20 @@ def bucket_of(doc_id: Column, buckets: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(buckets)
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded size, by the lengths of a text column; a
+    longer text is a part of its own."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lo = held = 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > lo and (held + size > BYTES or k - lo >= ROWS):
+            yield batch.slice(lo, k - lo)
+            lo, held = k, 0
+        held += size
+    if batch.num_rows > lo:
+        yield batch.slice(lo)
+
+
 def append_from_text(
     docs: DataFrame,
     text_col: str,
@@ -58,8 +73,7 @@ def append_from_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for lo in range(0, batch.num_rows, ROWS):
-                part = batch.slice(lo, ROWS)
+            for part in slices(batch, len(kept)):
                 made = fn(part.column(len(kept)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
 

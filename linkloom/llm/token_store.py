@@ -38,7 +38,7 @@ def _memory(path: str) -> tuple[wordbpe.WordBpe, wordbpe.Remembered]:
     if path not in _MADE:
         binary = lambda ids: np.array(ids, dtype="<u4").tobytes()
         seed = {t: binary(ids) for t, ids in bpe.special.items()}
-        _MADE[path] = wordbpe.Remembered(lambda words: [binary(i) for i in bpe.encode_by_library(words)], seed)
+        _MADE[path] = wordbpe.Remembered(lambda pieces: [binary(i) for i in bpe.encode_by_library(pieces)], seed)
     return bpe, _MADE[path]
 
 
@@ -55,12 +55,10 @@ def _images(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
              "n_tokens": pa.array([held], pa.int64()), "image": pa.array([data], pa.binary())})
 
     for batch in batches:
-        for lo in range(0, batch.num_rows, common.ROWS):
-            rows = batch.slice(lo, common.ROWS)
-            documents = [bpe.words(t) if t else [] for t in rows.column(1).to_pylist()]
-            known = memory.look(documents)
-            for doc_id, words in zip(rows.column(0).to_pylist(), documents, strict=True):
-                ids = b"".join([known[w] for w in words]) + end
+        for rows in common.slices(batch, 1):
+            documents = [bpe.pieces(t) if t else [] for t in rows.column(1).to_pylist()]
+            for doc_id, codes in zip(rows.column(0).to_pylist(), memory.look(documents), strict=True):
+                ids = b"".join(codes) + end
                 doc_ids.append(doc_id)
                 parts.append(ids)
                 sizes.append(len(ids) // 4)

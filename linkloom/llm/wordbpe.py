@@ -9,6 +9,7 @@ one tree per row of an array; longer ones by the same tree over Python lists.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 
@@ -17,8 +18,8 @@ from tokenizers import Tokenizer
 
 #: Words of more symbols get a tree of their own.
 BATCHED = 64
-#: Words whose codes are remembered, per generation and per Python worker.
-REMEMBERED = 150_000
+#: Pieces whose codes are remembered, per generation and per Python worker.
+REMEMBERED = 300_000
 _NONE = np.int64(2**62)
 _POS_BITS = 7
 
@@ -72,7 +73,7 @@ class WordBpe:
 
     # -- splitting ---------------------------------------------------------
 
-    def words(self, text: str) -> list[str]:
+    def pieces(self, text: str) -> list[str]:
         """The pieces that merges never cross, and control tokens as such."""
         if self.hint not in text and not _PLAIN.search(text):
             return _WORDS.findall(text.lower())
@@ -99,43 +100,51 @@ class WordBpe:
         at[at == len(self.keys)] = 0
         return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], _NONE)
 
-    def merge_batch(self, words: list[np.ndarray], width: int) -> list[list[int]]:
-        """Codes of words of at most ``width`` symbols, a power of two."""
-        n = len(words)
-        rows, lens = np.arange(n), np.fromiter(map(len, words), np.int64, n)
+    def merge_batch(self, symbols: np.ndarray, lens: np.ndarray, width: int) -> tuple[list[int], list[int]]:
+        """Codes of words of at most ``width`` symbols, a power of two, and where
+        each word's end; ``symbols`` are those of all words in a row."""
+        n, cols = len(lens), np.arange(width)
+        filled = cols < lens[:, None]
         sym = np.full((n, width + 1), -1, dtype=np.int64)  # the last column stays empty
-        cols = np.arange(width)
-        sym[:, :width][cols < lens[:, None]] = np.concatenate(words)
-        nxt = np.where(cols + 1 < lens[:, None], cols + 1, width)
-        nxt = np.hstack([nxt, np.full((n, 1), width)])
+        sym[:, :width][filled] = symbols
+        nxt = np.full((n, width + 1), width, dtype=np.int64)
+        nxt[:, :width] = np.where(cols + 1 < lens[:, None], cols + 1, width)
         prv = np.tile(np.r_[width, np.arange(width - 1), width], (n, 1))
         tree = np.full((n, 2 * width), _NONE, dtype=np.int64)
-        rank = self._rank(sym[:, :width], np.hstack([sym[:, 1:width], sym[:, width:]]))
-        tree[:, width:] = np.where(rank < _NONE, (rank << _POS_BITS) | cols, _NONE)
+        first, second = np.nonzero(filled[:, 1:])
+        rank = self._rank(sym[first, second], sym[first, second + 1])
+        tree[first, width + second] = np.where(rank < _NONE, rank << _POS_BITS | second, _NONE)
         for node in range(width - 1, 0, -1):
             np.minimum(tree[:, 2 * node], tree[:, 2 * node + 1], out=tree[:, node])
+        # Rows are addressed in flat views: a row's cells start at its offset.
+        flat_sym, flat_nxt, flat_prv, flat_tree = sym.ravel(), nxt.ravel(), prv.ravel(), tree.ravel()
+        rows = np.arange(n)
         while True:
-            rows = rows[tree[rows, 1] < _NONE]
+            rows = rows[flat_tree[rows * (2 * width) + 1] < _NONE]
             if not len(rows):
                 break
-            best = tree[rows, 1]
+            cell, leaf = rows * (width + 1), rows * (2 * width)
+            best = flat_tree[leaf + 1]
             at, made = best & ((1 << _POS_BITS) - 1), self.merged[best >> _POS_BITS]
-            gone = nxt[rows, at]
-            after, before = nxt[rows, gone], prv[rows, at]
-            sym[rows, at], sym[rows, gone] = made, -1
-            nxt[rows, at], prv[rows, after] = after, at
-            right = self._rank(made, sym[rows, after])
-            left = self._rank(sym[rows, before], made)
-            tree[rows, width + gone] = _NONE
-            tree[rows, width + at] = np.where(right < _NONE, (right << _POS_BITS) | at, _NONE)
-            has = before < width
-            tree[rows[has], width + before[has]] = np.where(left < _NONE, (left << _POS_BITS) | before, _NONE)[has]
-            for start in (gone, at, np.where(has, before, at)):
-                node = (width + start) >> 1
-                while node[0]:
-                    tree[rows, node] = np.minimum(tree[rows, 2 * node], tree[rows, 2 * node + 1])
-                    node >>= 1
-        return [r[r >= 0].tolist() for r in sym]
+            gone, before = flat_nxt[cell + at], flat_prv[cell + at]
+            after = flat_nxt[cell + gone]
+            flat_sym[cell + at], flat_sym[cell + gone] = made, -1
+            flat_nxt[cell + at], flat_prv[cell + after] = after, at
+            own = np.concatenate([made, flat_sym[cell + before]])
+            rank = self._rank(own, np.concatenate([flat_sym[cell + after], made]))
+            where = np.concatenate([at, np.where(before < width, before, 0)])
+            leaves = np.concatenate([leaf, leaf]) + width + where
+            some = np.concatenate([np.ones(len(rows), bool), before < width])
+            flat_tree[leaf + width + gone] = _NONE
+            flat_tree[leaves[some]] = np.where(rank < _NONE, rank << _POS_BITS | where, _NONE)[some]
+            base = np.concatenate([leaf, leaf, leaf])
+            node = width + np.concatenate([gone, where])
+            for _ in range(width.bit_length() - 1):
+                node >>= 1
+                child = base + 2 * node
+                flat_tree[base + node] = np.minimum(flat_tree[child], flat_tree[child + 1])
+        stays = sym >= 0
+        return sym[stays].tolist(), np.cumsum(stays.sum(1)).tolist()
 
     def merge_long(self, word: np.ndarray) -> list[int]:
         """Codes of one word of any length."""
@@ -171,23 +180,30 @@ class WordBpe:
         return [s for s in sym if s >= 0]
 
     def merge(self, words: list[str]) -> list[list[int]]:
-        """Codes of each word, by segment trees."""
+        """Codes of each piece, by segment trees."""
+        encoded = [w.encode("utf-8") for w in words]
+        lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        raw = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        ends = np.cumsum(lens)
+        symbols = self.inner[raw]
+        symbols[ends - 1] = self.last[raw[ends - 1]]
         out: list[list[int]] = [[]] * len(words)
-        by_width: dict[int, list[int]] = {}
-        symbols = [self.symbols(w) for w in words]
-        for k, s in enumerate(symbols):
-            by_width.setdefault(1 << max(1, (len(s) - 1).bit_length()), []).append(k)
-        for width, ks in by_width.items():
-            if width > BATCHED:
-                for k in ks:
-                    out[k] = self.merge_long(symbols[k])
-            else:
-                for k, ids in zip(ks, self.merge_batch([symbols[k] for k in ks], width), strict=True):
-                    out[k] = ids
+        width = 2
+        while width <= BATCHED:
+            own = np.flatnonzero((lens <= width) & ((lens > width // 2) | (width == 2)))
+            if len(own):
+                n = lens[own]
+                places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[own] - n, n)
+                ids, stops = self.merge_batch(symbols[places], n, width)
+                for k, a, b in zip(own.tolist(), [0, *stops], stops):  # noqa: B905
+                    out[k] = ids[a:b]
+            width *= 2
+        for k in np.flatnonzero(lens > BATCHED).tolist():
+            out[k] = self.merge_long(symbols[ends[k] - lens[k] : ends[k]])
         return out
 
-    def encode_by_library(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def encode_by_library(self, pieces: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def decode(self, ids: list[int]) -> str:
         """As the library without a decoder does: tokens with a space between."""
@@ -195,27 +211,33 @@ class WordBpe:
 
 
 class Remembered:
-    """What is made of each word, kept in two generations of bounded size."""
+    """What is made of each piece, kept in two generations of bounded size."""
 
     def __init__(self, make, seed: dict):
         self.make, self.seed = make, seed
         self.young, self.old = dict(seed), {}
 
-    def look(self, documents: list[list[str]]) -> dict:
-        """A dict with every word of ``documents``."""
+    def look(self, documents: list[list[str]]) -> list[list]:
+        """What was made of every word of ``documents``, in place of the words."""
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, dict(self.seed)
         young, old = self.young, self.old
-        unseen = []
-        for w in set().union(*documents):
-            if w not in young:
+        get = young.get
+        found = [[get(w) for w in words] for words in documents]
+        holes = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
+        missing = {words[i] for words, own in zip(documents, holes, strict=True) for i in own}
+        if missing:
+            unseen = []
+            for w in missing:
                 if w in old:
                     young[w] = old[w]
                 else:
                     unseen.append(w)
-        if unseen:
             young.update(zip(unseen, self.make(unseen), strict=True))
-        return young
+            for words, own, f in zip(documents, holes, found, strict=True):
+                for i in own:
+                    f[i] = young[words[i]]
+        return found
 
 
 _LOADED: dict[str, WordBpe] = {}
@@ -225,4 +247,6 @@ def load(path: str) -> WordBpe:
     """One per Python worker and file."""
     if path not in _LOADED:
         _LOADED[path] = WordBpe(path)
+        # Lists of words come and go by the million and hold no cycles.
+        gc.set_threshold(200_000, 50, 100)
     return _LOADED[path]
