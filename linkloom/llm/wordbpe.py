@@ -56,6 +56,7 @@ class WordBpe:
             self.token[i] = t
         symbols = byte_symbols()
         self.byte_of = {c: b for b, c in enumerate(symbols)}
+        self.printable = dict(enumerate(symbols))
         self.inner = np.array([vocab[c] for c in symbols], dtype=np.int64)
         self.last = np.array([vocab[c + end] for c in symbols], dtype=np.int64)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -203,7 +204,10 @@ class WordBpe:
         return out
 
     def encode_by_library(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+        """Codes of each piece, by the library's model; what comes before it in
+        the library, normal form and splitting, has been done."""
+        tokenize, printable = self.library.model.tokenize, self.printable
+        return [[t.id for t in tokenize(p.encode().decode("latin-1").translate(printable))] for p in pieces]
 
     def decode(self, ids: list[int]) -> str:
         """As the library without a decoder does: tokens with a space between."""
