@@ -8,7 +8,7 @@ segments:
    many and mostly distinct become one wildcard ``*``;
 2. of the children of a node that have ``MERGE_MIN`` URLs or more, those whose
    continuations and labels do not differ significantly (Hoeffding's bound)
-   from the node's heaviest child merge with it to ``{name}``;
+   from the heaviest child of the same majority label merge with it to ``{name}``;
 3. a template is rejected if its smoothed share of blocked URLs among labelled
    ones, (blocked + 1) / (labelled + 2), reaches ``PURITY``.
 
@@ -90,29 +90,31 @@ def _generalise(paths: DataFrame, level: int) -> DataFrame:
 
 
 def _merge(paths: DataFrame, level: int) -> DataFrame:
-    """Children that do not differ from the heaviest one merge with it."""
+    """Children that do not differ from the heaviest one of their majority label
+    (blocked, allowed, neither) merge with it."""
+    most = F.when(2 * F.col("blocked") > F.col("n"), "blocked").when(2 * F.col("allowed") > F.col("n"), "allowed").otherwise("")
     s, below = f"s{level}", F.col(f"s{level + 1}") if level < DEPTH else F.lit("")
     node = ["host", "p"]
     kinds = paths.groupBy(*node, s, below.alias("kind")).agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "allowed")))
     branch = kinds.groupBy(*node, s).agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "allowed"))).filter(
-        (F.col("n") >= MERGE_MIN) & (F.col(s) != ""))
+        (F.col("n") >= MERGE_MIN) & (F.col(s) != "")).withColumn("label", most)
     head = (
-        branch.groupBy(*node)
+        branch.groupBy(*node, "label")
         .agg(
             F.count(F.lit(1)).alias("branches"),
             F.max(F.struct("n", s, "blocked", "allowed")).alias("h"),
         )
         .filter("branches > 1")
-        .select(*node, F.col("h")[s].alias("head"), *(F.col("h")[c].alias("h_" + c) for c in ("n", "blocked", "allowed")))
+        .select(*node, "label", F.col("h")[s].alias("head"), *(F.col("h")[c].alias("h_" + c) for c in ("n", "blocked", "allowed")))
     )
-    pairs = branch.join(head, node).filter(F.col(s) != F.col("head"))
-    head_kinds = kinds.join(head.select(*node, F.col("head").alias(s), "h_n"), [*node, s]).select(
-        *node, "kind", (F.col("n") / F.col("h_n")).alias("h_rate"))
+    pairs = branch.join(head, [*node, "label"]).filter(F.col(s) != F.col("head"))
+    head_kinds = kinds.join(head.select(*node, "label", F.col("head").alias(s), "h_n"), [*node, s]).select(
+        *node, "label", "kind", (F.col("n") / F.col("h_n")).alias("h_rate"))
     # Kinds that only the head has count as one: what of it the branch never shows.
     rates = (
         kinds.select(*node, s, "kind", F.col("n").alias("k"))
-        .join(pairs.select(*node, s, "n"), [*node, s])
-        .join(head_kinds, [*node, "kind"], "left")
+        .join(pairs.select(*node, s, "label", "n"), [*node, s])
+        .join(head_kinds, [*node, "label", "kind"], "left")
         .groupBy(*node, s)
         .agg(
             F.max(F.abs(F.col("k") / F.col("n") - F.coalesce("h_rate", F.lit(0.0)))).alias("most"),
@@ -122,7 +124,7 @@ def _merge(paths: DataFrame, level: int) -> DataFrame:
     labels = [F.abs(F.col(c) / F.col("n") - F.col("h_" + c) / F.col("h_n")) for c in ("blocked", "allowed")]
     bound = _BOUND * (1 / F.sqrt("n") + 1 / F.sqrt("h_n"))
     alike = pairs.join(rates, [*node, s]).filter(F.greatest("most", "missing", *labels) < bound).select(*node, s, "head")
-    heads = alike.groupBy(*node).agg(F.first("head").alias("head")).select(*node, F.col("head").alias(s), "head")
+    heads = alike.select(*node, F.col("head").alias(s), "head").distinct()
     named = alike.union(heads)
     group = F.concat(F.lit("/{"), F.substring("head", 2, 10**6), F.lit("}"))
     return paths.join(named, [*node, s], "left").withColumn(s, F.coalesce(group, F.col(s))).drop("head")
