@@ -150,13 +150,16 @@ def fit(
         common.quoted(lang_col).cast("string").alias("__lang"),
         common.quoted(text_col).cast("string").alias("__text"),
     ).filter("__lang is not null and __text is not null")
-    langs = rows.groupBy("__lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "__lang").limit(LANGUAGES)
+    langs = rows.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), "__lang").limit(LANGUAGES)
+    # The hash thins each language to little more than the sample before ranking.
+    drawn = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("double") / 2.0**32
     order = W.partitionBy("__lang").orderBy("__hash", "__id")
     ids = (
         rows.select("__hash", "__id", "__lang")
+        .join(F.broadcast(langs), "__lang")
+        .filter(drawn * F.col("__n") < 1.5 * sample + 50)
         .withColumn("__rank", F.row_number().over(order))
         .filter(F.col("__rank") <= sample)
-        .join(F.broadcast(langs.select("__lang")), "__lang")
         .select("__id", "__lang")
         .distinct()
     )
