@@ -97,8 +97,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read again: lost
-    executors cost no more than the tasks that were running."""
+    executors cost no more than the tasks that were running.
+
+    The tables of an application lie in one folder, which :func:`drop_written`
+    removes when its results are no longer needed.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/linkloom-{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/linkloom-{spark.sparkContext.applicationId}"
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_written(spark: SparkSession, path: str | None = None) -> None:
+    """Removes one table, or all that this application has written."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path or _own_folder(spark))
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

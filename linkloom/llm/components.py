@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from linkloom.llm import common
 
 
+def rejoined(rows: DataFrame, grouped: DataFrame, key: str) -> DataFrame:
+    """``rows`` with what was computed per ``key``, a long.
+
+    Joined on the key's complement: the grouped side is then dealt anew instead
+    of both sides keeping the grouping's partitions, and AQE can split the rows
+    of a hot key.
+    """
+    right = grouped.withColumn("__k", F.bitwise_not(key)).drop(key)
+    return rows.withColumn("__k", F.bitwise_not(key)).join(right, "__k").drop("__k")
+
+
 def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
     """Links each node's neighbours (``larger_only``: those above it) to the
     smallest of the node and its neighbours."""
@@ -21,8 +32,8 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
         near = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    linked = near.join(least, "u")
+    least = near.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    linked = rejoined(near, least, "u")
     if larger_only:
         return linked.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     own = least.select("u", F.col("m").alias("v"))
@@ -32,13 +43,22 @@ def _star(edges: DataFrame, larger_only: bool) -> DataFrame:
 def connected(edges: DataFrame, label: str = "components") -> DataFrame:
     """``node, root`` for every node of ``edges`` (``u``, ``v`` long), where
     ``root`` is the smallest node reachable."""
-    now = common.written(edges.filter("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
-    mark = None
+    spark, schema = edges.sparkSession, "u long, v long"
+
+    def table(rows: DataFrame) -> str:
+        path = common.new_path(spark, label)
+        rows.write.parquet(path)
+        return path
+
+    larger_first = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    path, mark = table(larger_first.distinct()), None
     while True:
-        now = common.written(_star(_star(now, True), False), label)
-        row = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(row) == mark:
+        now = spark.read.schema(schema).parquet(path)
+        path, before = table(_star(_star(now, True), False)), path
+        common.drop_written(spark, before)
+        now = spark.read.schema(schema).parquet(path)
+        row = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if row == mark:
             break
-        mark = tuple(row)
+        mark = row
     return now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")).filter("node <> root")

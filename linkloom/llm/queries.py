@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -60,7 +60,7 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{common.shared_folder(spark)}/linkloom-tokens-{uuid.uuid4().hex}"
+    path = common.new_path(spark, "tokens")
     token_store.write_tokens(common.table(spark, sf_dir, "documents"), path, VOCABULARY, END_ID)
     return token_store.read_documents(spark, path)
 
@@ -124,7 +124,27 @@ QUERIES = {
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _escaped(c: str) -> str:
+    controls = "|".join(re.escape(x[1:]) for x in chat_format.CONTROL)
+    return f"regexp_replace(replace({c}, '\\', '\\\\'), '([<\\[])({controls})', '\\1\\\\\\2', 'g')"
+
+
+_MARKS = len(chat_format.START) + len(chat_format.END) + 2
+
 ORACLES = {
+    # Roles have neither control strings nor backslashes or line ends.
+    "op5_chat_format": f"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(role) + length({_escaped('text')}) + {_MARKS})::BIGINT AS formatted_chars
+        FROM rows GROUP BY conv_id""",
     "op7_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWERED} AS norm FROM documents)
         SELECT doc_id,

@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm import common
-from linkloom.llm.components import connected
+from linkloom.llm.components import connected, rejoined
 
 SHINGLE, SEED, LIMIT = 4, 42, 4
 #: First bit and width of each block.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
 _CODED = 15
 #: Homes of one anchor that one task holds; rows that are compared at a time.
-TILE, ROWS, PAIRS = 16_384, 1 << 18, 1 << 21
+TILE, ROWS, PAIRS = 16_384, 1 << 17, 1 << 19
 
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -292,7 +292,7 @@ def components(rows: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", labe
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return named.join(smallest, "root").select("fp", "component_id")
+    return rejoined(named, smallest, "root").select("fp", "component_id")
 
 
 def near_duplicates(
