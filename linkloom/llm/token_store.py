@@ -28,17 +28,25 @@ from linkloom.llm import common, wordbpe
 from linkloom.llm.dac import Image, pack
 
 IMAGE_TOKENS = 1 << 18
+#: Pieces whose codes a generation of a worker's memory holds: about 130 MB.
+REMEMBERED = 600_000
 
 _MADE: dict[str, wordbpe.Remembered] = {}
 
 
+def _binary(codes: list[list[int]]) -> list[bytes]:
+    """Each list as little-endian unsigned 32-bit integers."""
+    whole = np.array([i for ids in codes for i in ids], dtype="<u4").tobytes()
+    ends = np.cumsum([4 * len(ids) for ids in codes]).tolist()
+    return [whole[a:b] for a, b in zip([0, *ends], ends)]  # noqa: B905
+
+
 def _memory(path: str) -> tuple[wordbpe.WordBpe, wordbpe.Remembered]:
     """The library's codes of each word, as binary."""
     bpe = wordbpe.load(path)
     if path not in _MADE:
-        binary = lambda ids: np.array(ids, dtype="<u4").tobytes()
-        seed = {t: binary(ids) for t, ids in bpe.special.items()}
-        _MADE[path] = wordbpe.Remembered(lambda pieces: [binary(i) for i in bpe.encode_by_library(pieces)], seed)
+        seed = dict(zip(bpe.special, _binary(list(bpe.special.values())), strict=True))
+        _MADE[path] = wordbpe.Remembered(lambda pieces: _binary(bpe.encode_by_library(pieces)), seed, REMEMBERED)
     return bpe, _MADE[path]
 
 

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 #: Words of more symbols get a tree of their own.
 BATCHED = 64
-#: Pieces whose codes are remembered, per generation and per Python worker.
+#: Pieces whose codes are remembered, per generation (of two) and Python worker.
 REMEMBERED = 300_000
 _NONE = np.int64(2**62)
 _POS_BITS = 7
@@ -214,21 +214,29 @@ class WordBpe:
         return " ".join([self.token[i] for i in ids])
 
 
+def _holes(found: list) -> list[int]:
+    """Where ``found`` has None."""
+    at, out = -1, []
+    for _ in range(found.count(None)):
+        at = found.index(None, at + 1)
+        out.append(at)
+    return out
+
+
 class Remembered:
     """What is made of each piece, kept in two generations of bounded size."""
 
-    def __init__(self, make, seed: dict):
-        self.make, self.seed = make, seed
+    def __init__(self, make, seed: dict, most: int | None = None):
+        self.make, self.seed, self.most = make, seed, most or REMEMBERED
         self.young, self.old = dict(seed), {}
 
     def look(self, documents: list[list[str]]) -> list[list]:
         """What was made of every word of ``documents``, in place of the words."""
-        if len(self.young) > REMEMBERED:
+        if len(self.young) > self.most:
             self.old, self.young = self.young, dict(self.seed)
         young, old = self.young, self.old
-        get = young.get
-        found = [[get(w) for w in words] for words in documents]
-        holes = [[i for i, x in enumerate(f) if x is None] if None in f else () for f in found]
+        found = [list(map(young.get, words)) for words in documents]
+        holes = [_holes(f) for f in found]
         missing = {words[i] for words, own in zip(documents, holes, strict=True) for i in own}
         if missing:
             unseen = []
