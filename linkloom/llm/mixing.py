@@ -73,12 +73,12 @@ def _earliest_deadline_first(jobs: Column) -> Column:
 def schedule(pools: DataFrame) -> DataFrame:
     """``pool, k, release, deadline, slot`` of every block, from one row per
     pool: ``pool, a, n`` (name, integer weight, number of blocks)."""
-    # One row per pool, and the weights name every pool: a bound on the broadcast.
-    sources = pools.agg(F.sort_array(F.collect_list(F.struct("pool", "a", "n"))).alias("sources"))
+    # One row per pool, and the weights name every pool: a bound on the array.
+    sources = pools.agg(F.sort_array(F.collect_list(F.struct("pool", "a", "n")))).scalar()
     blocks = (
         pools.filter("n > 0")
         .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        .join(F.broadcast(sources))
+        .withColumn("sources", sources)
         .withColumn("from", _fluid(F.col("k"), F.col("a"), F.col("sources")))
         .withColumn("to", _fluid(F.col("k") + 1, F.col("a"), F.col("sources")))
         .selectExpr("pool", "k", "k div a AS round", "`from` div a AS release", "(`to` + a - 1) div a AS deadline")
