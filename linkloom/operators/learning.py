@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.similarity import FEATURES
 from linkloom.operators import blocking, evaluation, matching
+from linkloom.sources.tables import stored
 
 SEED = 42
 
@@ -74,7 +75,8 @@ def fit_matcher(
     """Block, label, train on four fifths of the S1 ids, tune on the rest, then
     train on all with that threshold."""
     pairs = matching.labelled(blocking.candidates(s1, s23, **blocks), truth)
-    features = matching.pair_features(pairs, s1, s23).cache()
+    # A stored table keeps the tables of the normal forms out of every iteration's tasks.
+    features = stored(matching.pair_features(pairs, s1, s23), "features")
     ids = s1.select(F.col("entity_id").alias("source1_entity_id")).distinct()
     own = in_train(F.col("source1_entity_id"))
     first = train(features.filter(own), kind, rounds)

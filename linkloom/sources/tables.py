@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import os
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -97,3 +100,13 @@ def from_chunks(spark: SparkSession, chunks: Sequence[pd.DataFrame], columns: Se
     whole = pd.concat([c[list(columns)] for c in chunks]) if chunks else pd.DataFrame(columns=list(columns))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     return spark.createDataFrame(whole.astype("string").where(whole.notna(), None).values.tolist(), schema)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the folder that driver and executors share
+    (``spark.checkpoint.dir``; a folder of our own only where none is set)."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/linkloom-{os.getuid()}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
