@@ -25,7 +25,9 @@ _POS_BITS = 7
 
 #: Texts of these characters alone are split here: they are in composed form,
 #: and their lower case, white space, letters and digits are fixed in Unicode.
-_PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
+#: Capitals whose lower case lies beyond them, as of Ə and Ɓ, are not of them.
+_NEAR = "".join(c for c in map(chr, range(0xAE, 0x250)) if max(c.lower()) <= "ɏ")
+_PLAIN = re.compile(f"[^\t\n\r\x20-\x7e\xa1-\xac{_NEAR}]")
 _LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
 _DIGIT = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_DIGIT}]|[^\\s{_LETTER}{_DIGIT}]+")

@@ -25,6 +25,14 @@ def test_codes_equal_the_library(text):
     assert codes(text) == BPE.library.encode(text, add_special_tokens=False).ids
 
 
+def test_every_latin_letter_inside_a_word():
+    for c in map(chr, range(0xA1, 0x250)):
+        for text in (f"a{c}b", f"{c}b", f"a{c}", c + c, f"'{c}"):
+            assert codes(text) == BPE.library.encode(text, add_special_tokens=False).ids, text
+    name = "Heydar Əliyev was born"
+    assert codes(name) == BPE.library.encode(name, add_special_tokens=False).ids
+
+
 def test_control_tokens_in_text():
     for text in ("<|endoftext|>", "a<|endoftext|><|startoftext|> b", "<|endof text|>", "<|EndOfText|>"):
         ids = BPE.library.encode(text, add_special_tokens=False).ids
