@@ -13,8 +13,8 @@ segments:
    ones, (blocked + 1) / (labelled + 2), reaches ``PURITY``.
 
 Counts per host and template are combined before every shuffle, so a hot host
-costs one row per task and template.  Paths keep ``DEPTH - 1`` segments; the
-rest is the tail ``**`` of the template, though rules see the whole path.
+costs one row per task and template.  The tree has all segments of each path; a
+round of jobs goes one branching deeper, past segments that all paths share.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower
 case; path: then up to ``?``, ``#`` or the end.  A null URL and one without
@@ -26,15 +26,18 @@ columns named as an output column give way to it.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm import common
 from linkloom.llm.exact_dedup import LOWER, UPPER
 
-DEPTH = 3
 #: A node's children are variable if so many are distinct, and so large a share.
 VARIABLE_CHILDREN, VARIABLE_SHARE = 8, 0.3
 MERGE_MIN, SIGNIFICANCE = 10, 0.05
@@ -65,78 +68,133 @@ def rule_of(host: Column, path: Column, rules: Mapping[str, str]) -> Column:
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
-def _segments(path: Column) -> list[Column]:
-    """The first segments, each with its slash and numbers as 0, then the tail."""
-    parts = F.split(path, "/")
-    first = [
-        F.coalesce(F.concat(F.lit("/"), F.regexp_replace(F.get(parts, F.lit(k)), "[0-9]+", "0")), F.lit(""))
-        for k in range(1, DEPTH)
-    ]
-    return [*first, F.when(F.size(parts) > DEPTH, F.lit("/**")).otherwise(F.lit(""))]
-
-
-def _generalise(paths: DataFrame, level: int) -> DataFrame:
-    """Children of variable nodes become a wildcard."""
-    s = f"s{level}"
-    kids = paths.groupBy("host", "p", s).agg(F.sum("n").alias("n"))
+def _generalise(paths: DataFrame) -> DataFrame:
+    """Children ``s`` of variable nodes become a wildcard."""
+    kids = paths.groupBy("host", "p", "s").agg(F.sum("n").alias("n"))
     variable = (
         kids.groupBy("host", "p")
         .agg(F.count(F.lit(1)).alias("kids"), F.sum("n").alias("n"))
         .filter((F.col("kids") >= VARIABLE_CHILDREN) & (F.col("kids") >= VARIABLE_SHARE * F.col("n")))
         .select("host", "p", F.lit(True).alias("variable"))
     )
-    wild = F.col("variable").isNotNull() & (F.col(s) != "")
-    return paths.join(variable, ["host", "p"], "left").withColumn(s, F.when(wild, "/*").otherwise(F.col(s))).drop("variable")
-
-
-def _merge(paths: DataFrame, level: int) -> DataFrame:
-    """Children that do not differ from the heaviest one of their majority label
-    (blocked, allowed, neither) merge with it."""
-    most = F.when(2 * F.col("blocked") > F.col("n"), "blocked").when(2 * F.col("allowed") > F.col("n"), "allowed").otherwise("")
-    s, below = f"s{level}", F.col(f"s{level + 1}") if level < DEPTH else F.lit("")
-    node = ["host", "p"]
-    kinds = paths.groupBy(*node, s, below.alias("kind")).agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "allowed")))
-    branch = kinds.groupBy(*node, s).agg(*(F.sum(c).alias(c) for c in ("n", "blocked", "allowed"))).filter(
-        (F.col("n") >= MERGE_MIN) & (F.col(s) != "")).withColumn("label", most)
-    head = (
-        branch.groupBy(*node, "label")
-        .agg(
-            F.count(F.lit(1)).alias("branches"),
-            F.max(F.struct("n", s, "blocked", "allowed")).alias("h"),
-        )
-        .filter("branches > 1")
-        .select(*node, "label", F.col("h")[s].alias("head"), *(F.col("h")[c].alias("h_" + c) for c in ("n", "blocked", "allowed")))
+    wild = F.col("variable").isNotNull() & (F.col("s") != "")
+    return paths.join(variable, ["host", "p"], "left").withColumn("s", F.when(wild, "/*").otherwise(F.col("s"))).drop("variable")
+
+
+def _alike(branches: dict[str, dict]) -> dict[str, str]:
+    """The head of every branch of a node that merges, heads included.
+
+    A branch joins the heaviest one of its majority label (blocked, allowed,
+    neither) if it does not differ from it.  ``branches`` have ``n``, ``blocked``, ``allowed``,
+    ``alone`` (their largest share of a kind that no other branch has) and
+    ``kinds`` (URLs by kind that others have too)."""
+    heads: list[str] = []
+    labels: list[str] = []
+    sizes, shares = array("d"), {c: array("d") for c in ("blocked", "allowed")}
+    showing: dict[int, tuple[array, array]] = {}  # heads by kind, and the kind's share of each
+    found: dict[str, str] = {}
+    for name in sorted(branches, key=lambda s: (branches[s]["n"], s), reverse=True):
+        own = branches[name]
+        label = "blocked" if 2 * own["blocked"] > own["n"] else "allowed" if 2 * own["allowed"] > own["n"] else ""
+        n, rates = own["n"], {kind: k / own["n"] for kind, k in own["kinds"].items()}
+        bound = _BOUND * (1 / math.sqrt(n) + 1 / np.sqrt(np.array(sizes)))
+        shown = np.zeros(len(heads))
+        for kind in rates:
+            if kind in showing:
+                shown[np.array(showing[kind][0])] += np.array(showing[kind][1])
+        near = (own["alone"] < bound) & (1 - shown < bound)
+        near &= np.array(labels, dtype=object) == label
+        for c, of in shares.items():
+            near &= np.abs(own[c] / n - np.array(of)) < bound
+        for at in np.flatnonzero(near).tolist():
+            head = branches[heads[at]]
+            if all(abs(r - head["kinds"].get(kind, 0) / head["n"]) < bound[at] for kind, r in rates.items()):
+                found[name] = found[heads[at]] = heads[at]
+                break
+        else:
+            if label in labels:
+                continue
+            labels.append(label)
+            for kind, r in rates.items():
+                ids, values = showing.setdefault(kind, (array("q"), array("d")))
+                ids.append(len(heads))
+                values.append(r)
+            heads.append(name)
+            sizes.append(n)
+            for c, of in shares.items():
+                of.append(own[c] / n)
+    return found
+
+
+def _named(node: pa.Table) -> pa.Table:
+    """``host, p, s, head`` of one node's branches that merge."""
+    branches: dict[str, dict] = {}
+    for r in node.to_pylist():
+        own = branches.setdefault(r["s"], {**r, "kinds": {}})
+        if r["kind"] is not None:
+            own["kinds"][r["kind"]] = r["k"]
+    found = _alike(branches)
+    host, p = node["host"][0].as_py(), node["p"][0].as_py()
+    columns = [[host] * len(found), [p] * len(found), list(found), list(found.values())]
+    return pa.table([pa.array(c, pa.string()) for c in columns], ["host", "p", "s", "head"])
+
+
+def _merge(paths: DataFrame) -> DataFrame:
+    """Children ``s`` that do not differ from one another merge.  A node's
+    branches and the continuations that two of them have are one task's."""
+    node, counts = ["host", "p"], ("n", "blocked", "allowed")
+    kinds = paths.groupBy(*node, "s", F.coalesce(F.get("tail", F.lit(1)), F.lit("")).alias("kind")).agg(
+        *(F.sum(c).alias(c) for c in counts))
+    branch = kinds.groupBy(*node, "s").agg(*(F.sum(c).alias(c) for c in counts)).filter(
+        (F.col("n") >= MERGE_MIN) & (F.col("s") != ""))
+    several = branch.groupBy(*node).agg(F.count(F.lit(1)).alias("branches")).filter("branches > 1").select(*node)
+    branch = branch.join(several, node)
+    own = kinds.select(*node, "s", "kind", F.col("n").alias("k")).join(branch.select(*node, "s"), [*node, "s"])
+    having = own.groupBy(*node, "kind").agg(F.count(F.lit(1)).alias("having"))
+    own = own.join(having, [*node, "kind"])
+    shared = own.filter("having > 1").select(*node, "s", "kind", "k")
+    alone = own.filter("having = 1").groupBy(*node, "s").agg(F.max("k").alias("alone"))
+    rows = (
+        branch.join(alone, [*node, "s"], "left")
+        .join(shared, [*node, "s"], "left")
+        .select(*node, "s", *counts, (F.coalesce("alone", F.lit(0)) / F.col("n")).alias("alone"), "kind", "k")
     )
-    pairs = branch.join(head, [*node, "label"]).filter(F.col(s) != F.col("head"))
-    head_kinds = kinds.join(head.select(*node, "label", F.col("head").alias(s), "h_n"), [*node, s]).select(
-        *node, "label", "kind", (F.col("n") / F.col("h_n")).alias("h_rate"))
-    # Kinds that only the head has count as one: what of it the branch never shows.
-    rates = (
-        kinds.select(*node, s, "kind", F.col("n").alias("k"))
-        .join(pairs.select(*node, s, "label", "n"), [*node, s])
-        .join(head_kinds, [*node, "label", "kind"], "left")
-        .groupBy(*node, s)
-        .agg(
-            F.max(F.abs(F.col("k") / F.col("n") - F.coalesce("h_rate", F.lit(0.0)))).alias("most"),
-            (1 - F.sum(F.coalesce("h_rate", F.lit(0.0)))).alias("missing"),
-        )
-    )
-    labels = [F.abs(F.col(c) / F.col("n") - F.col("h_" + c) / F.col("h_n")) for c in ("blocked", "allowed")]
-    bound = _BOUND * (1 / F.sqrt("n") + 1 / F.sqrt("h_n"))
-    alike = pairs.join(rates, [*node, s]).filter(F.greatest("most", "missing", *labels) < bound).select(*node, s, "head")
-    heads = alike.select(*node, F.col("head").alias(s), "head").distinct()
-    named = alike.union(heads)
+    named = rows.groupBy(*node).applyInArrow(_named, "host string, p string, s string, head string")
     group = F.concat(F.lit("/{"), F.substring("head", 2, 10**6), F.lit("}"))
-    return paths.join(named, [*node, s], "left").withColumn(s, F.coalesce(group, F.col(s))).drop("head")
+    return paths.join(named, [*node, "s"], "left").withColumn("s", F.coalesce(group, F.col("s"))).drop("head")
+
+
+def _skip(paths: DataFrame) -> DataFrame:
+    """Past the segments that all paths of a node share: a lone child neither
+    becomes a wildcard nor merges.  ``open`` where paths of the node go on apart."""
+    ends = paths.groupBy("host", "p").agg(F.min("tail").alias("lo"), F.max("tail").alias("hi"))
+    same = F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b))
+    ends = ends.select("host", "p", (F.array_position(same, False) - 1).cast("int").alias("shared"))
+    alike = F.when(F.col("shared") < 0, F.size("tail")).otherwise(F.col("shared"))
+    return paths.join(ends, ["host", "p"]).select(
+        "host", "raw", F.concat("p", F.array_join(F.slice("tail", F.lit(1), alike), "")).alias("p"),
+        F.slice("tail", alike + 1, F.greatest(F.size("tail"), F.lit(1))).alias("tail"),
+        "n", "blocked", "allowed", (F.col("shared") >= 0).alias("open"))
 
 
 def templates(paths: DataFrame) -> DataFrame:
     """``host, raw, template`` and the template's counts and purity, from
-    ``host, raw, s1.., n, blocked, allowed``."""
-    now = common.written(paths.withColumn("p", F.lit("")), "urls")
-    for level in range(1, DEPTH + 1):
-        now = _merge(_generalise(now, level), level)
-        now = common.written(now.withColumn("p", F.concat("p", f"s{level}")), "urls")
+    ``host, raw, n, blocked, allowed``."""
+    segments = F.split("raw", "/")
+    tail = F.transform(F.slice(segments, 2, F.size(segments)), lambda s: F.concat(F.lit("/"), s))
+    left = paths.withColumn("p", F.lit("")).withColumn("tail", tail)
+    ready = []
+    while True:
+        now = common.written(_skip(left), "urls")
+        ready.append(now.filter("not open"))
+        left = now.filter("open").drop("open")
+        if left.isEmpty():
+            break
+        left = left.withColumn("s", F.coalesce(F.get("tail", F.lit(0)), F.lit("")))
+        left = _merge(_generalise(left))
+        left = left.withColumn("p", F.concat("p", "s")).withColumn("tail", F.slice("tail", 2, F.greatest(F.size("tail"), F.lit(1)))).drop("s")
+        left = common.written(left, "urls")
+    now = reduce(DataFrame.unionByName, ready)
     pure = now.groupBy("host", "p").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")).withColumn(
         "purity", (F.col("blocked") + 1) / (F.col("blocked") + F.col("allowed") + 2))
     return now.select("host", "raw", "p").join(pure, ["host", "p"]).select("host", "raw", F.col("p").alias("template"), "purity")
@@ -157,11 +215,10 @@ def judge_urls(
                           host_of(url).alias("host"), path_of(url).alias("path"))
     by_rule = F.coalesce(*(F.when(F.col("rule") == r, F.lit(v)) for r, v in rules.items()), F.lit(None).cast("string"))
     rows = parsed.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("by_rule", by_rule)
-    rows = rows.withColumn("raw", F.concat(*_segments(F.col("path"))))
+    rows = rows.withColumn("raw", F.regexp_replace("path", "[0-9]+", "0"))
     paths = (
         rows.filter("host <> ''")
-        .select("host", "raw", "by_rule", *(c.alias(f"s{k + 1}") for k, c in enumerate(_segments(F.col("path")))))
-        .groupBy("host", "raw", *(f"s{k}" for k in range(1, DEPTH + 1)))
+        .groupBy("host", "raw")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("by_rule") == "block").alias("blocked"),

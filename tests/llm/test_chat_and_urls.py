@@ -134,3 +134,14 @@ def test_pure_template_rejects_unlabelled(spark):
     rows = {r["path"]: r for r in url_filter.judge_urls(pages, rules).collect()}
     assert rows["/psq/in"]["rule"] is None and rows["/psq/in"]["verdict"] == "block"
     assert rows["/psq/in"]["purity"] == 19 / 20
+
+
+def test_deep_branches_are_judged_apart(spark):
+    urls = [f"http://shop.com/cat/item/spam/{k}" for k in range(20)] + [f"http://shop.com/cat/item/good/{k}" for k in range(50)]
+    urls += [f"http://deep.com/{'a/' * 30}{w}/{k}" for w in ("spam", "good") for k in range(20)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = {"shop.com/cat/item/spam/": "block", f"deep.com/{'a/' * 30}spam/": "block"}
+    rows = url_filter.judge_urls(pages, rules).collect()
+    for r in rows:
+        assert r["verdict"] == ("block" if "/spam/" in r["path"] else "allow")
+    assert {r["template"] for r in rows if r["host"] == "shop.com"} == {"/cat/item/spam/0", "/cat/item/good/0"}
