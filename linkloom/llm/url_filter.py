@@ -6,9 +6,10 @@ segments:
 
 1. numbers inside a segment become ``0``, and the children of a node that are
    many and mostly distinct become one wildcard ``*``;
-2. of the children of a node that have ``MERGE_MIN`` URLs or more, those whose
-   continuations and labels do not differ significantly (Hoeffding's bound)
-   from the heaviest child of the same majority label merge with it to ``{name}``;
+2. of the children of a node that have ``MERGE_MIN`` URLs or more, the heaviest
+   is a head, and those whose continuations and labels do not differ
+   significantly (Hoeffding's bound) from it merge with it to ``{name}``; so on
+   with the heaviest of the others, until none is left;
 3. a template is rejected if its smoothed share of blocked URLs among labelled
    ones, (blocked + 1) / (labelled + 2), reaches ``PURITY``.
 
@@ -84,18 +85,16 @@ def _generalise(paths: DataFrame) -> DataFrame:
 def _alike(branches: dict[str, dict]) -> dict[str, str]:
     """The head of every branch of a node that merges, heads included.
 
-    A branch joins the heaviest one of its majority label (blocked, allowed,
-    neither) if it does not differ from it.  ``branches`` have ``n``, ``blocked``, ``allowed``,
+    Heaviest first, a branch joins the heaviest head that it does not differ
+    from, or becomes a head.  ``branches`` have ``n``, ``blocked``, ``allowed``,
     ``alone`` (their largest share of a kind that no other branch has) and
     ``kinds`` (URLs by kind that others have too)."""
     heads: list[str] = []
-    labels: list[str] = []
     sizes, shares = array("d"), {c: array("d") for c in ("blocked", "allowed")}
     showing: dict[int, tuple[array, array]] = {}  # heads by kind, and the kind's share of each
     found: dict[str, str] = {}
     for name in sorted(branches, key=lambda s: (branches[s]["n"], s), reverse=True):
         own = branches[name]
-        label = "blocked" if 2 * own["blocked"] > own["n"] else "allowed" if 2 * own["allowed"] > own["n"] else ""
         n, rates = own["n"], {kind: k / own["n"] for kind, k in own["kinds"].items()}
         bound = _BOUND * (1 / math.sqrt(n) + 1 / np.sqrt(np.array(sizes)))
         shown = np.zeros(len(heads))
@@ -103,7 +102,6 @@ def _alike(branches: dict[str, dict]) -> dict[str, str]:
             if kind in showing:
                 shown[np.array(showing[kind][0])] += np.array(showing[kind][1])
         near = (own["alone"] < bound) & (1 - shown < bound)
-        near &= np.array(labels, dtype=object) == label
         for c, of in shares.items():
             near &= np.abs(own[c] / n - np.array(of)) < bound
         for at in np.flatnonzero(near).tolist():
@@ -112,9 +110,6 @@ def _alike(branches: dict[str, dict]) -> dict[str, str]:
                 found[name] = found[heads[at]] = heads[at]
                 break
         else:
-            if label in labels:
-                continue
-            labels.append(label)
             for kind, r in rates.items():
                 ids, values = showing.setdefault(kind, (array("q"), array("d")))
                 ids.append(len(heads))

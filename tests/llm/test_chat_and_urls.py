@@ -1,4 +1,7 @@
 import hashlib
+import math
+import random
+from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -145,3 +148,42 @@ def test_deep_branches_are_judged_apart(spark):
     for r in rows:
         assert r["verdict"] == ("block" if "/spam/" in r["path"] else "allow")
     assert {r["template"] for r in rows if r["host"] == "shop.com"} == {"/cat/item/spam/0", "/cat/item/good/0"}
+
+
+def test_branches_alike_merge_beside_a_heavier_other(spark):
+    # The heaviest blocked branch has another form; the two light ones are alike.
+    urls = [f"http://site.com/heavy/{'xyz'[k % 3]}" for k in range(60)]
+    urls += [f"http://site.com/{b}/{k}" for b in ("one", "two") for k in range(10)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = {"site.com/heavy/": "block"} | {f"site.com/{b}/{k}": "block" for b in ("one", "two") for k in range(6)}
+    rows = url_filter.judge_urls(pages, rules).collect()
+    assert {(r["template"], r["purity"]) for r in rows if "/heavy/" not in r["path"]} == {("/{two}/0", 13 / 14)}
+    assert {r["verdict"] for r in rows} == {"block"}
+
+
+def test_heads_equal_a_plain_version():
+    rng = random.Random(5)
+    for _ in range(200):
+        full = {}
+        for b in range(rng.randint(2, 9)):
+            kinds = Counter(rng.choices(range(5), weights=[rng.choice([0, 1, 5]) + 0.01 for _ in range(5)], k=rng.choice([10, 30, 200])))
+            blocked = rng.choice([0, 0, sum(kinds.values()) // 2, sum(kinds.values())])
+            full[f"/{b}"] = (kinds, sum(kinds.values()), blocked)
+        heads, plain = [], {}
+        for s in sorted(full, key=lambda s: (full[s][1], s), reverse=True):
+            kinds, n, blocked = full[s]
+            for h in heads:
+                hk, hn, hb = full[h]
+                bound = math.sqrt(0.5 * math.log(2 / 0.05)) * (1 / math.sqrt(n) + 1 / math.sqrt(hn))
+                missing = sum(hk[k] for k in hk if k not in kinds) / hn
+                if max(missing, abs(blocked / n - hb / hn), *(abs(kinds[k] / n - hk[k] / hn) for k in kinds)) < bound:
+                    plain[s] = plain[h] = h
+                    break
+            else:
+                heads.append(s)
+        having = Counter(k for kinds, _, _ in full.values() for k in kinds)
+        branches = {
+            s: {"n": n, "blocked": b, "allowed": 0, "alone": max([v / n for k, v in kinds.items() if having[k] == 1], default=0),
+                "kinds": {k: v for k, v in kinds.items() if having[k] > 1}}
+            for s, (kinds, n, b) in full.items()}
+        assert url_filter._alike(branches) == plain
