@@ -6,9 +6,11 @@ vote for the language family, then others, trained within that family only,
 separate its languages.
 
 ``SAMPLE`` bounds the rows per language that training reads (those of the
-smallest id hash), ``ALL_SAMPLES`` those of all languages together, and
-``LANGUAGES`` the languages (the commonest; none is left out up to that
-number).  A text that is null or has no letter is ``und`` with
+smallest id hash), and ``ALL_SAMPLES`` those of all languages together, but
+``LEAST`` of each are read however many languages there are: every language of
+the table is learnt.  There is a machine for every two families and for every
+two languages of one, so time and memory of the driver grow with their square.
+A text that is null or has no letter is ``und`` with
 score 0.  If only one language is known, it is predicted with score 1.  Rows
 that repeat count as often as they occur.  An empty table gives an empty
 result; input columns named as an output column give way to it.
@@ -29,7 +31,7 @@ from pyspark.sql import types as T
 
 from linkloom.llm import common
 
-SAMPLE, ALL_SAMPLES, LANGUAGES, TERMS = 1000, 16_000, 64, 4096
+SAMPLE, ALL_SAMPLES, LEAST, TERMS = 1000, 16_000, 8, 4096
 UNKNOWN = "und"
 #: Families of common languages; any other is a family of its own.
 FAMILIES = {
@@ -145,15 +147,15 @@ def fit(
     sample: int = SAMPLE,
 ) -> Model:
     """A model from at most ``sample`` rows of each language of ``docs``, and
-    ``ALL_SAMPLES`` in all."""
+    ``ALL_SAMPLES`` in all, or ``LEAST`` of each if that is more."""
     rows = docs.select(
         F.md5(F.coalesce(common.quoted(id_col).cast("string"), F.lit("")).cast("binary")).alias("__hash"),
         common.quoted(id_col).alias("__id"),
         common.quoted(lang_col).cast("string").alias("__lang"),
         common.quoted(text_col).cast("string").alias("__text"),
     ).filter("__lang is not null and __text is not null")
-    langs = rows.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n")).orderBy(F.desc("__n"), "__lang").limit(LANGUAGES)
-    sample = min(sample, ALL_SAMPLES // max(langs.count(), 1))
+    langs = rows.groupBy("__lang").agg(F.count(F.lit(1)).alias("__n"))  # the model has a class for each
+    sample = min(sample, max(ALL_SAMPLES // max(langs.count(), 1), LEAST))
     # The hash thins each language to little more than the sample before ranking.
     drawn = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("double") / 2.0**32
     order = W.partitionBy("__lang").orderBy("__hash", "__id")
@@ -173,7 +175,7 @@ def fit(
 
         return fn
 
-    chosen = rows.select("__id", "__lang", "__text").join(F.broadcast(ids), ["__id", "__lang"])  # at most ALL_SAMPLES ids
+    chosen = rows.select("__id", "__lang", "__text").join(F.broadcast(ids), ["__id", "__lang"])  # ALL_SAMPLES ids, or LEAST a language
     found = common.append_from_text(
         chosen, "__text", make, [T.StructField("w", T.BinaryType())], ["__id", "__lang"]
     ).groupBy("__id", "__lang").agg(F.min("w").alias("w")).collect()

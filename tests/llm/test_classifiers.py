@@ -68,6 +68,17 @@ def test_held_out_languages(spark):
     assert right / len(held) > 0.97
 
 
+def test_every_language_is_learnt(spark):
+    rng = random.Random(6)
+    alphabets = {f"x{k:02}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 5)) for k in range(70)}
+    rows = [(f"{v} {j}", words(rng, 40, a), v) for k, (v, a) in enumerate(alphabets.items()) for j in range(3 if k < 64 else 2)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    model = language_id.fit(docs)
+    assert sorted(v for m in model.members.values() for v in m) == sorted(alphabets)
+    rare = [r for r in rows if r[2] >= "x64"]
+    assert language_id.predict(model, [r[1] for r in rare])[0] == [r[2] for r in rare]
+
+
 def test_language_edges(spark):
     rng = random.Random(2)
     rows = [(k, words(rng, 30, "xyzw" if k % 2 else "abcd"), "en" if k % 2 else "fr", "p") for k in range(60)]
