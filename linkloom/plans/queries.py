@@ -519,7 +519,7 @@ def negative_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supervised_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the records and their truth, then decide all S1 records."""
     s1, s23 = R.sides(spark, sf_dir)
-    matcher, _ = learning.fit_matcher(s1, s23, R.truth(spark, sf_dir), "logistic", 50)
+    matcher, _ = learning.fit_matcher(s1, s23, R.truth(spark, sf_dir))
     return learning.predict(matcher, s1, s23)[1]
 
 
