@@ -80,12 +80,17 @@ def read_exact_index(spark: SparkSession, path: str) -> DataFrame:
 def write_lists(lists: DataFrame, path: str, line_sep: str = "\n") -> None:
     """A folder of tab-separated parts with a header each; ``\\r\\n`` as line end
     gives what spreadsheet-style writers do."""
-    lines = F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in lists.columns))
     if line_sep == "\n":
         lists.write.mode("overwrite").csv(path, sep="\t", header=True, emptyValue="", quote="\u0000")
         return
-    # Spark's text writer ends lines with one character: the rest is part of the value.
-    lists.select(F.concat(lines, F.lit(line_sep[:-1])).alias("value")).write.mode("overwrite").option(
+    # Spark's text writer ends lines with one character: the rest is part of the
+    # value.  The header goes before the first row of each partition; a table
+    # without rows has no part to bear one.
+    end = line_sep[:-1]
+    line = F.concat(F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in lists.columns)), F.lit(end))
+    is_first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    header = F.lit("\t".join(lists.columns) + line_sep)
+    lists.select(F.when(is_first, F.concat(header, line)).otherwise(line).alias("value")).write.mode("overwrite").option(
         "lineSep", line_sep[-1]).text(path)
 
 

@@ -33,7 +33,7 @@ def test_write_lists(spark, tmp_path):
     assert text == 'source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S2-"2\nS1-2\t\n'
     tables.write_lists(lists, str(tmp_path / "crlf"), "\r\n")
     text = "".join(p.read_bytes().decode() for p in sorted((tmp_path / "crlf").glob("part-*")))
-    assert text == 'S1-1\tS2-1,S2-"2\r\nS1-2\t\r\n'
+    assert text == 'source1_entity_id\tmatched_entity_ids\r\nS1-1\tS2-1,S2-"2\r\nS1-2\t\r\n'
 
 
 def test_index_report_chunks_and_first_rows(spark, tmp_path):
