@@ -1,9 +1,10 @@
 """Operator 9: BPE encoding and decoding of whole texts.
 
-Codes come from the segment-tree merges of :mod:`linkloom.llm.wordbpe`.  A null
-or empty text has no codes; a text of any length is encoded whole; equal texts
-have equal codes; an empty table gives an empty result; input columns named as
-an output column give way to it.
+Codes come from the segment-tree merges of :mod:`linkloom.llm.wordbpe`; the
+library normalises and splits.  A null or empty text has no codes; a text of any
+length is encoded whole, about a megabyte at a time; rows that repeat each get
+the same codes; an empty table gives an empty result; input columns named as an
+output column give way to it.
 """
 
 from __future__ import annotations
@@ -28,24 +29,33 @@ DIGESTS = (
 _MADE: dict[str, wordbpe.Remembered] = {}
 
 
-def _entries(bpe: wordbpe.WordBpe, codes: list[list[int]]) -> list[tuple[int, bytes, bytes, bytes]]:
+def _remembered(path: str) -> wordbpe.Remembered:
     """Of each word's codes: their number, the codes as binary and as decimal
     text, and what they decode to."""
-    binary = np.array([i for ids in codes for i in ids], dtype="<i4").tobytes()
-    out, at = [], 0
-    for ids in codes:
-        to = at + 4 * len(ids)
-        out.append((len(ids), binary[at:to], " ".join(map(str, ids)).encode(), bpe.decode(ids).encode()))
-        at = to
-    return out
+    if path not in _MADE:
+        bpe = wordbpe.load(path)
+        decimal = [str(i).encode() for i in range(len(bpe.token))]
+        token = [t.encode() for t in bpe.token]
+        binary = [int(i).to_bytes(4, "little") for i in range(len(bpe.token))]
 
+        def made(words: list[bytes]) -> list[tuple[int, bytes, bytes, bytes]]:
+            return [(len(ids), b"".join([binary[i] for i in ids]), b" ".join([decimal[i] for i in ids]),
+                     b" ".join([token[i] for i in ids])) for ids in bpe.encode(words)]
 
-def _remembered(path: str) -> tuple[wordbpe.WordBpe, wordbpe.Remembered]:
-    bpe = wordbpe.load(path)
-    if path not in _MADE:
-        seed = dict(zip(bpe.special, _entries(bpe, list(bpe.special.values())), strict=True))
-        _MADE[path] = wordbpe.Remembered(lambda pieces: _entries(bpe, bpe.merge(pieces)), seed)
-    return bpe, _MADE[path]
+        _MADE[path] = wordbpe.Remembered(made, lambda e: 200 + 14 * e[0])
+    return _MADE[path]
+
+
+class _Joined:
+    """Digest of texts with a space between them, as they come."""
+
+    def __init__(self):
+        self.digest, self.empty = hashlib.sha256(), True
+
+    def add(self, texts: list[bytes]) -> None:
+        if texts:
+            self.digest.update((b"" if self.empty else b" ") + b" ".join(texts))
+            self.empty = False
 
 
 def bpe_encode(
@@ -60,18 +70,19 @@ def bpe_encode(
     fields = [IDS, *DIGESTS] if with_ids else list(DIGESTS)
 
     def make():
-        bpe, memory = _remembered(vocabulary)
+        memory = _remembered(vocabulary)
 
         def fn(texts: list) -> list[pa.Array]:
-            documents = [bpe.pieces(t) if t else [] for t in texts]
-            sizes, binary, ids_sha, text_sha = [], [], [], []
-            for found in memory.look(documents):
-                sizes.append(sum([f[0] for f in found]))
-                ids_sha.append(hashlib.sha256(b" ".join([f[2] for f in found])).hexdigest())
-                text_sha.append(hashlib.sha256(b" ".join([f[3] for f in found])).hexdigest())
+            sizes, binary = [0] * len(texts), []
+            ids, decoded = [_Joined() for _ in texts], [_Joined() for _ in texts]
+            for row, found in wordbpe.looked_up(memory, texts):
+                found = [f for f in found if f[0]]  # a word of other white space has no codes
+                sizes[row] += sum([f[0] for f in found])
+                ids[row].add([f[2] for f in found])
+                decoded[row].add([f[3] for f in found])
                 if with_ids:
                     binary.append(b"".join([f[1] for f in found]))
-            out = [pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            out = [pa.array(sizes, pa.int64()), *(pa.array([j.digest.hexdigest() for j in of], pa.string()) for of in (ids, decoded))]
             if with_ids:
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(binary), dtype="<i4"), pa.int32())
@@ -80,7 +91,7 @@ def bpe_encode(
 
         return fn
 
-    return common.append_from_text(docs, text_col, make, fields, keep)
+    return common.append_from_text(docs, text_col, make, fields, keep, as_bytes=True)
 
 
 def bpe_decode(

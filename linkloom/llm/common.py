@@ -57,9 +57,10 @@ def append_from_text(
     make: Callable[[], Callable[[list], list[pa.Array]]],
     fields: Sequence[T.StructField],
     keep: Sequence[str] | None = None,
+    as_bytes: bool = False,
 ) -> DataFrame:
     """``keep`` (default: all columns) plus ``fields``, which are computed from
-    whole texts.
+    whole texts (``as_bytes``: their UTF-8).
 
     ``make()`` runs once per task and returns a function from a list of texts
     to one Arrow array per field.  An input column that has the name of a new
@@ -74,7 +75,8 @@ def append_from_text(
         fn = make()
         for batch in batches:
             for part in slices(batch, len(kept)):
-                made = fn(part.column(len(kept)).to_pylist())
+                texts = part.column(len(kept))
+                made = fn((texts.cast(pa.binary()) if as_bytes else texts).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=names)
 
     return source.mapInArrow(run, schema)

@@ -6,10 +6,13 @@ ids (a longer document is one image) are written.  An image is one row of a
 Parquet file, so that Spark's writer commits it on any file system and a retry
 leaves no half of it; ``part, seq`` order the images as the documents.
 
-The encoder is the tokenizers library, asked once per distinct word of a
-worker's memory.  A null or empty text has the end id alone.  Null ids come
-first; rows that repeat an id are ordered by a hash of their text.  An empty
-table gives no images.  Columns beyond id and text are not read.
+The encoder is the tokenizers library, given the texts in words cut at ASCII
+white space (see :mod:`linkloom.llm.wordbpe`), each distinct word once per
+worker's memory.  A null or empty text has the end id alone; a long one is
+encoded about a megabyte at a time.  Null ids come first; rows that repeat an id
+are ordered by a hash of their text and each have a place of their own.  An
+empty table gives no images.  Columns beyond id and text are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -28,30 +31,20 @@ from linkloom.llm import common, wordbpe
 from linkloom.llm.dac import Image, pack
 
 IMAGE_TOKENS = 1 << 18
-#: Pieces whose codes a generation of a worker's memory holds: about 130 MB.
-REMEMBERED = 600_000
 
 _MADE: dict[str, wordbpe.Remembered] = {}
 
 
-def _binary(codes: list[list[int]]) -> list[bytes]:
-    """Each list as little-endian unsigned 32-bit integers."""
-    whole = np.array([i for ids in codes for i in ids], dtype="<u4").tobytes()
-    ends = np.cumsum([4 * len(ids) for ids in codes]).tolist()
-    return [whole[a:b] for a, b in zip([0, *ends], ends)]  # noqa: B905
-
-
-def _memory(path: str) -> tuple[wordbpe.WordBpe, wordbpe.Remembered]:
+def _memory(path: str) -> wordbpe.Remembered:
     """The library's codes of each word, as binary."""
-    bpe = wordbpe.load(path)
     if path not in _MADE:
-        seed = dict(zip(bpe.special, _binary(list(bpe.special.values())), strict=True))
-        _MADE[path] = wordbpe.Remembered(lambda pieces: _binary(bpe.encode_by_library(pieces)), seed, REMEMBERED)
-    return bpe, _MADE[path]
+        bpe = wordbpe.load(path)
+        _MADE[path] = wordbpe.Remembered(bpe.encode_by_library, len)
+    return _MADE[path]
 
 
 def _images(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    bpe, memory = _memory(path)
+    memory = _memory(path)
     end = np.array([end_id], dtype="<u4").tobytes()
     part, seq = TaskContext.get().partitionId(), 0
     doc_ids, parts, sizes, held = [], [], [], 0
@@ -64,9 +57,11 @@ def _images(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
 
     for batch in batches:
         for rows in common.slices(batch, 1):
-            documents = [bpe.pieces(t) if t else [] for t in rows.column(1).to_pylist()]
-            for doc_id, codes in zip(rows.column(0).to_pylist(), memory.look(documents), strict=True):
-                ids = b"".join(codes) + end
+            codes = [[] for _ in range(rows.num_rows)]
+            for row, found in wordbpe.looked_up(memory, rows.column(1).cast(pa.binary()).to_pylist()):
+                codes[row].append(b"".join(found))
+            for doc_id, own in zip(rows.column(0).to_pylist(), codes, strict=True):
+                ids = b"".join(own) + end
                 doc_ids.append(doc_id)
                 parts.append(ids)
                 sizes.append(len(ids) // 4)

@@ -5,32 +5,36 @@ each inner node the smaller of its children, so the root names the lowest rank
 and, of equal ranks, the leftmost pair.  A merge changes three leaves and the
 paths above them.  Words of up to ``BATCHED`` symbols are merged many at a time,
 one tree per row of an array; longer ones by the same tree over Python lists.
+
+Texts are cut at ASCII white space, and what is made of each word between is
+remembered.  Normal form and splitting of a word are always the library's own.
+The cut changes nothing: control tokens hold no white space, canonical
+composition and lower case never reach across it, and no alternative of the
+splitting pattern matches it.
 """
 
 from __future__ import annotations
 
 import gc
 import json
+import os
 import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: Words of more symbols get a tree of their own.
 BATCHED = 64
-#: Pieces whose codes are remembered, per generation (of two) and Python worker.
-REMEMBERED = 300_000
+#: Bytes that a memory of words holds, per generation (of two), and the length of
+#: the longest word that it keeps.
+MEMORY, LONGEST = 64 << 20, 64
+#: Bytes of text that are lists of words at a time.
+WINDOW = 1 << 20
 _NONE = np.int64(2**62)
 _POS_BITS = 7
-
-#: Texts of these characters alone are split here: they are in composed form,
-#: and their lower case, white space, letters and digits are fixed in Unicode.
-#: Capitals whose lower case lies beyond them, as of Ə and Ɓ, are not of them.
-_NEAR = "".join(c for c in map(chr, range(0xAE, 0x250)) if max(c.lower()) <= "ɏ")
-_PLAIN = re.compile(f"[^\t\n\r\x20-\x7e\xa1-\xac{_NEAR}]")
-_LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ɏ"
-_DIGIT = "0-9\xb2\xb3\xb9\xbc-\xbe"
-_WORDS = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_DIGIT}]|[^\\s{_LETTER}{_DIGIT}]+")
+_MARK = "\x01"
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
 def byte_symbols() -> list[str]:
@@ -57,8 +61,7 @@ class WordBpe:
         for t, i in (vocab | special).items():
             self.token[i] = t
         symbols = byte_symbols()
-        self.byte_of = {c: b for b, c in enumerate(symbols)}
-        self.printable = dict(enumerate(symbols))
+        self.byte_of = {ord(c): b for b, c in enumerate(symbols)}
         self.inner = np.array([vocab[c] for c in symbols], dtype=np.int64)
         self.last = np.array([vocab[c + end] for c in symbols], dtype=np.int64)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -70,29 +73,89 @@ class WordBpe:
         self.ranks = order[first]
         self.keys = keys[self.ranks]
         self.rank_of = dict(zip(self.keys.tolist(), self.ranks.tolist(), strict=True))
-        self.special = {t: [i] for t, i in special.items()}
+        self.ends = np.array([t.endswith(end) for t in self.token])
+        self.ends[list(special.values())] = True
+        self.mark = vocab[symbols[ord(_MARK)] + end]
+        self.special = {t.encode(): [i] for t, i in special.items()}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
-        self.hint = "<|" if all(t.startswith("<|") for t in special) else ""
 
     # -- splitting ---------------------------------------------------------
 
-    def pieces(self, text: str) -> list[str]:
-        """The pieces that merges never cross, and control tokens as such."""
-        if self.hint not in text and not _PLAIN.search(text):
-            return _WORDS.findall(text.lower())
-        out: list[str] = []
+    def _split(self, normal: str) -> tuple[list[bytes], list[int]]:
+        """The pieces of a normal form that merges never cross, and where they start."""
+        found = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        if not found:
+            return [], []
+        symbols = " ".join([w for w, _ in found])  # no piece has a byte for a space
+        return symbols.translate(self.byte_of).encode("latin-1").split(b" "), [a for _, (a, _) in found]
+
+    def pieces(self, text: str) -> list[bytes]:
+        """The pieces of a text in UTF-8, and control tokens as such."""
+        out: list[bytes] = []
         for part in self.marks.split(text):
-            if part in self.special:
-                out.append(part)
+            if part.encode() in self.special:
+                out.append(part.encode())
             elif part:
-                split = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))
-                out += [bytes(self.byte_of[c] for c in w).decode("utf-8") for w, _ in split]
+                out += self._split(self.library.normalizer.normalize_str(part))[0]
+        return out
+
+    def pieces_of_each(self, words: list[str]) -> list[list[bytes]]:
+        """:meth:`pieces` of each word; as one text for the library where no
+        control token and no white space inside a word is in the way."""
+        text = " ".join(words)
+        if "<|" not in text:
+            normal = self.library.normalizer.normalize_str(text)
+            if normal.count(" ") == len(words) - 1:
+                found, starts = self._split(normal)
+                ends = np.cumsum([len(w) + 1 for w in normal.split(" ")])
+                cuts = np.searchsorted(starts, ends).tolist()
+                return [found[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
+        return [self.pieces(w) for w in words]
+
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        """Codes of each word, by segment trees."""
+        split = self.pieces_of_each([w.decode("utf-8", "replace") for w in words])
+        known = dict(self.special)
+        plain = list({p for pieces in split for p in pieces} - known.keys())
+        known.update(zip(plain, self.merge(plain) if plain else [], strict=True))
+        return [known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]] for pieces in split]
+
+    def _library_ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def encode_by_library(self, words: list[bytes]) -> list[bytes]:
+        """Codes of each word as little-endian unsigned 32-bit integers, by the
+        library's encoder in one call for many words.
+
+        Words of letters are at least a piece each, so if they have as many ends
+        of pieces as there are words, each ends where a piece does.  Others have
+        a piece of their own, a control character, between them."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        out = [b""] * len(words)
+        single = [k for k, t in enumerate(texts) if t.isalpha()]
+        ids = self._library_ids(" ".join([texts[k] for k in single]))
+        ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+        if len(ends) == len(single):
+            raw = ids.tobytes()
+            for k, a, b in zip(single, [0, *ends.tolist()], ends.tolist()):  # noqa: B905
+                out[k] = raw[a:b]
+            rest = [k for k, t in enumerate(texts) if not t.isalpha()]
+        else:
+            rest = list(range(len(texts)))
+        alone = [k for k in rest if _MARK in texts[k] or "<|" in texts[k]]
+        for k in alone:
+            out[k] = self._library_ids(texts[k]).tobytes()
+        rest = sorted(set(rest) - set(alone))
+        ids = self._library_ids(f" {_MARK} ".join([texts[k] for k in rest]))
+        raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark)).tolist()
+        for k, a, b in zip(rest, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]):  # noqa: B905
+            out[k] = raw[a:b]
         return out
 
     # -- merging -----------------------------------------------------------
 
-    def symbols(self, word: str) -> np.ndarray:
-        raw = np.frombuffer(word.encode("utf-8"), dtype=np.uint8)
+    def symbols(self, word: bytes) -> np.ndarray:
+        raw = np.frombuffer(word, dtype=np.uint8)
         ids = self.inner[raw]
         ids[-1] = self.last[raw[-1]]
         return ids
@@ -182,11 +245,10 @@ class WordBpe:
                 put(before, (rank_of.get(sym[before] * span + sym[at], none[0]), before))
         return [s for s in sym if s >= 0]
 
-    def merge(self, words: list[str]) -> list[list[int]]:
+    def merge(self, words: list[bytes]) -> list[list[int]]:
         """Codes of each piece, by segment trees."""
-        encoded = [w.encode("utf-8") for w in words]
-        lens = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        raw = np.frombuffer(b"".join(encoded), dtype=np.uint8)
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         ends = np.cumsum(lens)
         symbols = self.inner[raw]
         symbols[ends - 1] = self.last[raw[ends - 1]]
@@ -205,12 +267,6 @@ class WordBpe:
             out[k] = self.merge_long(symbols[ends[k] - lens[k] : ends[k]])
         return out
 
-    def encode_by_library(self, pieces: list[str]) -> list[list[int]]:
-        """Codes of each piece, by the library's model; what comes before it in
-        the library, normal form and splitting, has been done."""
-        tokenize, printable = self.library.model.tokenize, self.printable
-        return [[t.id for t in tokenize(p.encode().decode("latin-1").translate(printable))] for p in pieces]
-
     def decode(self, ids: list[int]) -> str:
         """As the library without a decoder does: tokens with a space between."""
         return " ".join([self.token[i] for i in ids])
@@ -218,48 +274,87 @@ class WordBpe:
 
 def _holes(found: list) -> list[int]:
     """Where ``found`` has None."""
+    n = found.count(None)
+    if 8 * n > len(found):
+        return [i for i, f in enumerate(found) if f is None]
     at, out = -1, []
-    for _ in range(found.count(None)):
+    for _ in range(n):
         at = found.index(None, at + 1)
         out.append(at)
     return out
 
 
 class Remembered:
-    """What is made of each piece, kept in two generations of bounded size."""
-
-    def __init__(self, make, seed: dict, most: int | None = None):
-        self.make, self.seed, self.most = make, seed, most or REMEMBERED
-        self.young, self.old = dict(seed), {}
-
-    def look(self, documents: list[list[str]]) -> list[list]:
-        """What was made of every word of ``documents``, in place of the words."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, dict(self.seed)
-        young, old = self.young, self.old
-        found = [list(map(young.get, words)) for words in documents]
+    """What is made of each word, kept in two generations of bounded bytes.
+    ``weigh`` gives the bytes of what was made; words above ``LONGEST`` bytes
+    are made anew each time."""
+
+    def __init__(self, make: Callable[[list[bytes]], list], weigh: Callable[[object], int], most: int | None = None):
+        self.make, self.weigh, self.most = make, weigh, MEMORY if most is None else most
+        self.young: dict[bytes, object] = {}
+        self.old: dict[bytes, object] = {}
+        self.held = 0
+
+    def look(self, lists: list[list[bytes]]) -> list[list]:
+        """What was made of every word of ``lists``, in place of the words."""
+        if self.held > self.most:
+            self.old, self.young, self.held = self.young, {}, 0
+        found = [list(map(self.young.get, words)) for words in lists]
         holes = [_holes(f) for f in found]
-        missing = {words[i] for words, own in zip(documents, holes, strict=True) for i in own}
+        missing = list({words[i] for words, own in zip(lists, holes, strict=True) for i in own})
         if missing:
-            unseen = []
-            for w in missing:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    unseen.append(w)
-            young.update(zip(unseen, self.make(unseen), strict=True))
-            for words, own, f in zip(documents, holes, found, strict=True):
+            made = {w: self.old[w] for w in missing if w in self.old}
+            unseen = [w for w in missing if w not in made]
+            if unseen:
+                made.update(zip(unseen, self.make(unseen), strict=True))
+            for word, value in made.items():
+                if len(word) <= LONGEST:
+                    self.young[word] = value
+                    self.held += 150 + len(word) + self.weigh(value)
+            for words, own, f in zip(lists, holes, found, strict=True):
                 for i in own:
-                    f[i] = young[words[i]]
+                    f[i] = made[words[i]]
         return found
 
 
+def _windows(raw: bytes) -> Iterator[bytes]:
+    """``raw`` in turns of about ``WINDOW`` bytes that end at white space; longer
+    only where there is none."""
+    at = 0
+    while len(raw) - at > WINDOW:
+        gap = _SPACE.search(raw, at + WINDOW)
+        if gap is None:
+            break
+        yield raw[at : gap.start()]
+        at = gap.end()
+    yield raw[at:] if at else raw
+
+
+def looked_up(memory: Remembered, texts: Iterable[bytes | None]) -> Iterator[tuple[int, list]]:
+    """Number of the text and what was made of its words, in order; a long text
+    comes in several turns, and about ``WINDOW`` bytes are held at a time."""
+    rows: list[int] = []
+    words: list[list[bytes]] = []
+    held = 0
+    for row, text in enumerate(texts):
+        for window in _windows(text or b""):
+            rows.append(row)
+            words.append(window.split())
+            held += len(window)
+            if held >= WINDOW:
+                yield from zip(rows, memory.look(words), strict=True)
+                rows, words, held = [], [], 0
+    yield from zip(rows, memory.look(words), strict=True)
+
+
 _LOADED: dict[str, WordBpe] = {}
 
 
 def load(path: str) -> WordBpe:
     """One per Python worker and file."""
     if path not in _LOADED:
+        # A worker is one of several on its machine: no threads of the library's own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _LOADED[path] = WordBpe(path)
         # Lists of words come and go by the million and hold no cycles.
         gc.set_threshold(200_000, 50, 100)
