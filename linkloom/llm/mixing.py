@@ -16,17 +16,22 @@ blocks, a bound set by the weights and not by the data.
 
 Within a source, documents are dealt into buckets by a hash of their id, which
 shuffles them; a bucket's start comes from counts, so the numbering needs no
-pass over one source in one task.  Rows are never dropped or repeated.  Sources
-that the weights do not name, and null, share one pool of weight ``rest``.
-Null ids and ties are numbered in the order of the remaining sort keys; rows
-that repeat everything are interchangeable.  An empty table gives an empty
-result; input columns named as an output column give way to it.
+pass over one source in one task, and the number of buckets grows with the
+documents, so that a bucket stays small.  The windows are a table in the shared
+folder: where it is small, Spark knows that from its files and broadcasts it.
+Rows are never dropped or repeated.  Sources that the weights do not name, and
+null, share one pool of weight ``rest``.  Null ids and ties are numbered in the
+order of the remaining sort keys; rows that repeat everything are
+interchangeable; texts of any length are carried whole.  An empty table gives an
+empty result; input columns named as an output column give way to it, and no
+other name is in the way of the private ones, which go by position.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,8 +39,8 @@ from pyspark.sql import functions as F
 from linkloom.llm import common
 
 POOL = "(other)"
-#: Hex digits of the id's hash that name a bucket: 4096 buckets to a source.
-BUCKET_DIGITS = 3
+#: Rows of a source that a bucket has at the most, about.
+BUCKET_ROWS = 1 << 16
 
 
 def _fluid(k: Column, a: Column, sources: Column) -> Column:
@@ -73,14 +78,24 @@ def _earliest_deadline_first(jobs: Column) -> Column:
 def schedule(pools: DataFrame) -> DataFrame:
     """``pool, k, release, deadline, slot`` of every block, from one row per
     pool: ``pool, a, n`` (name, integer weight, number of blocks)."""
-    # One row per pool, and the weights name every pool: a bound on the array.
-    sources = pools.agg(F.sort_array(F.collect_list(F.struct("pool", "a", "n")))).scalar()
+    spark = pools.sparkSession
+    known = sorted((r["pool"], r["a"], r["n"]) for r in pools.filter("n > 0").collect())  # the weights name every pool
+    schema = "pool string, k long, release long, deadline long, slot long"
+    if not known:
+        return spark.createDataFrame([], schema)
+    sources = F.array(*(F.struct(F.lit(a).cast("long").alias("a"), F.lit(n).cast("long").alias("n")) for _, a, n in known))
+    # The blocks of all pools in a row of numbers, so that tasks share them evenly.
+    each, start = F.lit(None), 0
+    for pool, a, n in known:
+        own = F.struct(F.lit(pool).alias("pool"), F.lit(a).cast("long").alias("a"), (F.col("id") - start).alias("k"))
+        each = F.when((F.col("id") >= start) & (F.col("id") < start + n), own).otherwise(each)
+        start += n
     blocks = (
-        pools.filter("n > 0")
-        .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-        .withColumn("sources", sources)
-        .withColumn("from", _fluid(F.col("k"), F.col("a"), F.col("sources")))
-        .withColumn("to", _fluid(F.col("k") + 1, F.col("a"), F.col("sources")))
+        spark.range(start)
+        .select(each.alias("b"))
+        .select("b.*")
+        .withColumn("from", _fluid(F.col("k"), F.col("a"), sources))
+        .withColumn("to", _fluid(F.col("k") + 1, F.col("a"), sources))
         .selectExpr("pool", "k", "k div a AS round", "`from` div a AS release", "(`to` + a - 1) div a AS deadline")
     )
     jobs = F.sort_array(F.collect_list(F.struct("deadline", "pool", "k", "release", F.lit(0).cast("long").alias("slot"))))
@@ -111,55 +126,61 @@ def mix(
     kept = common.without(docs.columns if keep is None else keep, made)
     named = F.coalesce(common.quoted(source_col).cast("string"), F.lit(POOL))
     pool = F.when(named.isin(*weights), named).otherwise(F.lit(POOL)) if weights else F.lit(POOL)
-    target = spark.createDataFrame([*weights.items(), (POOL, rest)], "pool string, a long")
     hashed = F.md5(F.coalesce(common.quoted(id_col).cast("string"), F.lit("")).cast("binary"))
+
+    of = {**weights, POOL: rest}
+    sizes = {r["pool"]: r["n"] for r in docs.select(pool.alias("pool")).groupBy("pool").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pools = [(p, of[p], -(-n // block_docs)) for p, n in sizes.items()]  # one row per weight at the most
+    windows = common.written(schedule(spark.createDataFrame(pools, "pool string, a long, n long")), "windows")
+    digits = 1
+    while max(sizes.values(), default=0) > BUCKET_ROWS * 16**digits:
+        digits += 1
+
+    bucket = F.substring(hashed, 1, digits)
+    counts = docs.select(pool.alias("pool"), bucket.alias("bucket")).groupBy("pool", "bucket").agg(F.count(F.lit(1)).alias("size"))
+    up_to = W.partitionBy("pool").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    starts = common.written(
+        counts.withColumn("first", F.sum("size").over(up_to) - F.col("size")).select("pool", "bucket", "first"), "starts")
+    own = [f"k{i}" for i in range(len(kept))]
     rows = docs.select(
-        *map(common.quoted, kept),
+        *(common.quoted(c).alias(o) for o, c in zip(own, kept, strict=True)),
         pool.alias("pool"),
-        hashed.alias("__hash"),
-        common.quoted(id_col).alias("__id"),
-        F.xxhash64(*map(common.quoted, kept)).alias("__tie"),
-    ).withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
-
-    counts = (
-        docs.select(pool.alias("pool"), F.substring(hashed, 1, BUCKET_DIGITS).alias("__bucket"))
-        .groupBy("pool", "__bucket")
-        .agg(F.count(F.lit(1)).alias("size"))
-    )
-    up_to = W.partitionBy("pool").orderBy("__bucket").rowsBetween(W.unboundedPreceding, 0)
-    starts = counts.withColumn("start", F.sum("size").over(up_to) - F.col("size"))
-    sizes = counts.groupBy("pool").agg(F.sum("size").alias("docs"))
-    pools = target.join(sizes, "pool").selectExpr("pool", "a", f"(docs + {block_docs} - 1) div {block_docs} AS n")
-    # The blocks that each bucket reaches into, as one row per bucket.
-    reach = (
-        starts.selectExpr(
-            "pool", "__bucket", "start",
-            f"explode(sequence(start div {block_docs}, (start + size - 1) div {block_docs})) AS k",
-        )
-        .join(schedule(pools), ["pool", "k"])
-        .groupBy("pool", "__bucket")
-        .agg(
-            F.min("start").alias("__start"),
-            F.min("k").alias("__first"),
-            F.sort_array(F.collect_list(F.struct("k", "release", "deadline", "slot"))).alias("__blocks"),
-        )
+        bucket.alias("bucket"),
+        hashed.alias("hash"),
+        common.quoted(id_col).alias("id"),
+        F.xxhash64(*map(common.quoted, kept)).alias("tie"),
     )
-    inside = W.partitionBy("pool", "__bucket").orderBy("__hash", "__id", "__tie")
+    inside = W.partitionBy("pool", "bucket").orderBy("hash", "id", "tie")
+    rank = F.col("first") + F.col("place") - 1
     return (
-        rows.join(reach, ["pool", "__bucket"])
-        .withColumn("__rank", F.col("__start") + F.row_number().over(inside) - 1)
-        .withColumn("block", F.expr(f"__rank div {block_docs}"))
-        .withColumn("__at", F.get("__blocks", (F.col("block") - F.col("__first")).cast("int")))
+        rows.withColumn("place", F.row_number().over(inside))
+        .join(starts, ["pool", "bucket"])
+        .select(*own, "pool", F.expr(f"(first + place - 1) div {block_docs}").alias("k"), (rank % block_docs).alias("inner"))
+        .join(windows, ["pool", "k"])
         .select(
-            *map(common.quoted, kept),
+            *(F.col(o).alias(c) for o, c in zip(own, kept, strict=True)),
             "pool",
-            "block",
-            *(F.col("__at")[c].alias(c) for c in ("release", "deadline", "slot")),
-            (F.col("__at")["slot"] * block_docs + F.col("__rank") % block_docs).alias("position"),
+            F.col("k").alias("block"),
+            "release",
+            "deadline",
+            "slot",
+            (F.col("slot") * block_docs + F.col("inner")).alias("position"),
         )
     )
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
-    """The rows laid out in the order of the mix, partition by partition."""
+    """The rows laid out in the order of the mix, partition by partition: files
+    written from them have that order, and :func:`place_in_files` reads it."""
     return mixed.repartitionByRange("position").sortWithinPartitions("position")
+
+
+def place_in_files(docs: DataFrame) -> list[Column]:
+    """``mix_file`` and ``mix_row``: the number of the part file and of the row
+    in it, as columns of a table that was read from files; null for others."""
+    try:
+        docs.select("_metadata.file_name", "_metadata.row_index")
+    except AnalysisException:
+        return [F.lit(None).cast("long").alias("mix_file"), F.lit(None).cast("long").alias("mix_row")]
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1)
+    return [part.try_cast("bigint").alias("mix_file"), F.col("_metadata.row_index").alias("mix_row")]
