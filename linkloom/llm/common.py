@@ -3,7 +3,9 @@ rules, and tables written to the folder that driver and executors share."""
 
 from __future__ import annotations
 
+import contextlib
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -51,6 +53,19 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(lo)
 
 
+def windows(raw: bytes, gap: re.Pattern[bytes], size: int = BYTES) -> Iterator[bytes]:
+    """``raw`` in turns of about ``size`` bytes that end after the first byte of
+    a match of ``gap``; longer only where nothing matches."""
+    at = 0
+    while len(raw) - at > size:
+        found = gap.search(raw, at + size)
+        if found is None:
+            break
+        yield raw[at : found.start() + 1]
+        at = found.start() + 1
+    yield raw[at:] if at else raw
+
+
 def append_from_text(
     docs: DataFrame,
     text_col: str,
@@ -85,13 +100,16 @@ def append_from_text(
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a folder of our
-    own is set.
+    Where the session names none, a local master gets a folder of its own on
+    this machine; any other master is an error, as executors would each write
+    to a disk of their own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.gettempdir()}/linkloom-{os.getuid()}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -110,12 +128,27 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders of :func:`scratch` that are open.
+_SCRATCH: list[str] = []
+
+
 def _own_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/linkloom-{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH[-1] if _SCRATCH else _own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """The folder of all tables that are written inside, for
+    :func:`drop_written` once what was made of them has been written."""
+    _SCRATCH.append(new_path(spark, "scratch"))
+    try:
+        yield _SCRATCH[-1]
+    finally:
+        _SCRATCH.pop()
 
 
 def drop_written(spark: SparkSession, path: str | None = None) -> None:

@@ -14,13 +14,16 @@ yields a spanning forest of its links, never all pairs.  Anchors with more than
 ``TILE`` homes are dealt out again as tiles of homes by visitors.  Links lead
 to components; nothing about all documents goes to the driver.
 
-Null and empty texts have fingerprint zero and link like any other.  Rows that
-repeat an id keep their own fingerprint; a component's id is its smallest id
-that is not null.  An empty table gives an empty result.
+Null and empty texts have fingerprint zero and link like any other; a text of
+any length is read whole, about a megabyte at a time.  Rows that repeat an id
+keep their own fingerprint; a component's id is its smallest id that is not
+null.  An empty table gives an empty result; private columns are named by
+position, so no column of the caller's can clash with them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -40,27 +43,37 @@ _CODED = 15
 #: Homes of one anchor that one task holds; rows that are compared at a time.
 TILE, ROWS, PAIRS = 16_384, 1 << 17, 1 << 19
 
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _BIT_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
 # -- fingerprints ----------------------------------------------------------
 
 
-def fingerprint(text: str | None) -> int:
-    """A bit is 1 if over half of the shingles' hashes have it."""
-    words = (text or "").encode("utf-8").lower().split()
-    if not words:
-        return 0
+def _hashes(words: list[bytes]) -> list[int]:
+    """The hash of every ``SHINGLE`` words in a row."""
     joined = b" ".join(words)
-    if len(words) <= SHINGLE:
-        return xxhash.xxh64_intdigest(joined, SEED)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.r_[0, ends[:-SHINGLE]].tolist()
     h = xxhash.xxh64_intdigest
-    hashes = [h(joined[a:b], SEED) for a, b in zip(starts, (ends[SHINGLE - 1 :] - 1).tolist(), strict=True)]
-    parts = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
-    ones = np.concatenate([np.bincount(parts[:, k], minlength=256) @ _BIT_OF_BYTE for k in range(8)])
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    return [h(joined[a:b], SEED) for a, b in zip(starts, (ends[SHINGLE - 1 :] - 1).tolist(), strict=True)]
+
+
+def fingerprint(text: bytes | None) -> int:
+    """A bit is 1 if over half of the shingles' hashes have it.  The text is read
+    in turns; the last words of one lead into the next."""
+    ones, total = np.zeros(64, np.int64), 0
+    words: list[bytes] = []
+    for part in common.windows(text or b"", _SPACE):
+        words = words[1 - SHINGLE :] + part.lower().split() if total else words + part.lower().split()
+        if len(words) >= SHINGLE:
+            hashes = _hashes(words)
+            parts = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+            ones += np.concatenate([np.bincount(parts[:, k], minlength=256) @ _BIT_OF_BYTE for k in range(8)])
+            total += len(hashes)
+    if not total:
+        return xxhash.xxh64_intdigest(b" ".join(words), SEED) if words else 0
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(
@@ -75,7 +88,7 @@ def fingerprints(
 
         return fn
 
-    return common.append_from_text(docs, text_col, make, [T.StructField(name, T.LongType())], keep)
+    return common.append_from_text(docs, text_col, make, [T.StructField(name, T.LongType())], keep, as_bytes=True)
 
 
 # -- anchors ---------------------------------------------------------------
@@ -285,14 +298,32 @@ def links(nodes: DataFrame, label: str = "simhash") -> DataFrame:
 
 
 def components(rows: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", label: str = "simhash") -> DataFrame:
-    """``fp, component_id`` for every distinct fingerprint of ``rows``."""
+    """``fp, component_id, root`` for every distinct fingerprint of ``rows``; a
+    root is one of its component's fingerprints."""
     nodes = common.written(
         rows.groupBy(common.quoted(fp_col).alias("fp")).agg(F.min(common.quoted(id_col)).alias("first_id")), label)
     roots = connected(links(nodes, label), label)
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rejoined(named, smallest, "root").select("fp", "component_id")
+    return rejoined(named, smallest, "root").select("fp", "component_id", "root")
+
+
+def _printed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id, row, fp`` of every row.  A row is known by its id and a hash of its
+    text, so that rows that repeat an id with another text keep apart and no
+    text is fingerprinted twice."""
+    rows = docs.select(
+        common.quoted(id_col).alias("id"), F.xxhash64(common.quoted(text_col).cast("string")).alias("row"),
+        common.quoted(text_col).alias("text"))
+    return common.written(fingerprints(rows, "text", ["id", "row"], "fp"), "simhash")
+
+
+def _known(docs: DataFrame, kept: Sequence[str], id_col: str, text_col: str) -> DataFrame:
+    """``kept`` by position, with what knows a row: no name of the caller's is in the way."""
+    return docs.select(
+        *(common.quoted(c).alias(f"k{i}") for i, c in enumerate(kept)),
+        common.quoted(id_col).alias("own_id"), F.xxhash64(common.quoted(text_col).cast("string")).alias("own_row"))
 
 
 def near_duplicates(
@@ -301,22 +332,29 @@ def near_duplicates(
     """``keep`` (default: all columns) with ``fingerprint`` (16 hex digits) and
     ``component_id``; input columns of these names give way."""
     kept = common.without(docs.columns if keep is None else keep, ["fingerprint", "component_id"])
-    # A row is known by its id and a hash of its text, so that rows that repeat
-    # an id with another text keep apart and no text is fingerprinted twice.
-    row_hash = F.xxhash64(common.quoted(text_col).cast("string"))
-    slim = common.written(
-        fingerprints(
-            docs.select(common.quoted(id_col).alias("__id"), row_hash.alias("__row"), common.quoted(text_col).alias("__text")),
-            "__text", ["__id", "__row"], "fp",
-        ),
-        "simhash",
-    )
-    named = slim.join(components(slim, "__id"), "fp").withColumn(
-        "fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    slim = _printed(docs, id_col, text_col)
+    named = slim.join(components(slim, "id"), "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
     if [c.lower() for c in kept] == [id_col.lower()]:
-        return named.select(F.col("__id").alias(kept[0]), "fingerprint", "component_id")
-    rows = docs.select(*map(common.quoted, kept), common.quoted(id_col).alias("__same"), row_hash.alias("__hash"))
-    one = named.dropDuplicates(["__id", "__row"])
-    return rows.join(
-        one, F.col("__same").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__row"))
-    ).select(*map(common.quoted, kept), "fingerprint", "component_id")
+        return named.select(F.col("id").alias(kept[0]), "fingerprint", "component_id")
+    one = named.dropDuplicates(["id", "row"])
+    return _known(docs, kept, id_col, text_col).join(
+        one, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_row") == F.col("row"))
+    ).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), "fingerprint", "component_id")
+
+
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of every component the
+    smallest id that is not null, of equal ids one text.  Rows that repeat both
+    id and text stay or go together."""
+    slim = _printed(docs, id_col, text_col)
+    named = slim.join(components(slim, "id").select("fp", "root"), "fp").select("id", "row", "root").distinct()
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
+    first = named.groupBy("root").agg(F.min(order).alias("first")).select("root", "first.id", "first.row")
+    others = common.written(
+        rejoined(named, first.select("root", F.col("id").alias("first_id"), F.col("row").alias("first_row")), "root")
+        .filter(~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("row") == F.col("first_row"))))
+        .select("id", "row"), "simhash")
+    # The rows that go are a table of their own: where it is small, Spark finds that from its files and broadcasts it.
+    return _known(docs, docs.columns, id_col, text_col).join(
+        others, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_row") == F.col("row")), "left_anti"
+    ).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -24,6 +24,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 from tokenizers import Tokenizer
 
+from linkloom.llm import common
+
 #: Words of more symbols get a tree of their own.
 BATCHED = 64
 #: Bytes that a memory of words holds, per generation (of two), and the length of
@@ -317,19 +319,6 @@ class Remembered:
         return found
 
 
-def _windows(raw: bytes) -> Iterator[bytes]:
-    """``raw`` in turns of about ``WINDOW`` bytes that end at white space; longer
-    only where there is none."""
-    at = 0
-    while len(raw) - at > WINDOW:
-        gap = _SPACE.search(raw, at + WINDOW)
-        if gap is None:
-            break
-        yield raw[at : gap.start()]
-        at = gap.end()
-    yield raw[at:] if at else raw
-
-
 def looked_up(memory: Remembered, texts: Iterable[bytes | None]) -> Iterator[tuple[int, list]]:
     """Number of the text and what was made of its words, in order; a long text
     comes in several turns, and about ``WINDOW`` bytes are held at a time."""
@@ -337,7 +326,7 @@ def looked_up(memory: Remembered, texts: Iterable[bytes | None]) -> Iterator[tup
     words: list[list[bytes]] = []
     held = 0
     for row, text in enumerate(texts):
-        for window in _windows(text or b""):
+        for window in common.windows(text or b"", _SPACE, WINDOW):
             rows.append(row)
             words.append(window.split())
             held += len(window)
