@@ -1,20 +1,25 @@
 """Operator 5: chat formatting with a template as a black box.
 
-A template renders a list of turns to text.  Successive prefixes of a
-conversation are rendered and consecutive outputs compared: what the longer one
-adds is the new turn's span, and an output that does not start with the one
-before it shows a template that rewrites history.  The place of a turn's text
-in its span comes from the span of the same turn with a probe character as its
-text.  The loss mask covers each assistant turn's text and nothing else.
-
-Prefixes of more than ``WINDOW`` turns are rendered with the first turn and the
-last ``WINDOW`` only; the spans count if together they equal the rendering of
-the whole and of its halves, else every prefix is rendered whole.
+A template renders a list of turns to text.  Every prefix of a conversation is
+rendered whole and consecutive outputs are compared: what the longer one adds is
+the new turn's span, and an output that does not start with the one before it
+shows a template that rewrites history.  The place of a turn's text in its span
+comes from the same prefix with a probe character as its last text; where what
+surrounds the probe does not surround the text, the text's only verbatim
+occurrence counts, and without one the turn has no place of its text.  The loss
+mask covers each assistant turn's text and nothing else.
+
+That is quadratic in the turns of a conversation.  A caller that declares a
+template ``local`` (the rendering of turns is that of each, in a row) has its
+turns rendered one by one, which counts only if together they equal the
+rendering of the whole.
 
 Rows are put in order of turn (then role and text); null role, turn and text
-count as empty, first and empty.  Rows that repeat are turns of their own.  A
+count as empty, first and empty; rows without an id are one conversation.  Rows
+that repeat are turns of their own.  Texts of any length are rendered whole.  A
 template that rewrites history gives its text, ``rewrites_history`` true, and
-null spans.  An empty table gives an empty result; other columns are not read.
+null spans.  An empty table gives an empty result; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -32,8 +37,8 @@ from linkloom.llm import common
 Turn = tuple[str, str]
 Render = Callable[[Sequence[Turn]], str]
 
-WINDOW = 16
-_PROBE = "\ue000"
+#: Characters of which the first that a conversation does not have is the probe.
+PROBES = tuple(map(chr, range(0xE000, 0xF900)))
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Control strings of this and of other public templates.
@@ -75,54 +80,59 @@ def parse(formatted: str) -> list[Turn]:
     return turns
 
 
-def _whole_prefixes(template: Render, turns: Sequence[Turn]) -> list[int] | None:
-    before = template([])
-    ends = [len(before)]
-    for k in range(len(turns)):
-        now = template(turns[: k + 1])
-        if not now.startswith(before):
-            return None
-        ends.append(len(now))
-        before = now
-    return ends
+Span = tuple[int, int, int | None, int | None]
 
 
-def _windowed(template: Render, turns: Sequence[Turn]) -> list[int] | None:
-    parts = [template([])]
-    ends = [len(parts[0])]
-    for k in range(len(turns)):
-        near = turns[: k + 1] if k <= WINDOW else [turns[0], *turns[k + 1 - WINDOW : k + 1]]
-        before, now = template(near[:-1]), template(near)
-        if not now.startswith(before):
-            return None
-        parts.append(now[len(before) :])
-        ends.append(ends[-1] + len(parts[-1]))
-    k = len(turns)
-    while k > WINDOW:
-        if "".join(parts[: k + 1]) != template(turns[:k]):
+def _text_place(span: str, probed: str, probe: str, text: str) -> tuple[int, int] | None:
+    """Where in ``span`` its turn's text is; ``probed`` is the span with a probe for it."""
+    if probed.count(probe) == 1:
+        head, _, tail = probed.partition(probe)
+        if len(head) + len(tail) <= len(span) and span.startswith(head) and span.endswith(tail):
+            return len(head), len(span) - len(tail)
+    if text and span.count(text) == 1:
+        at = span.index(text)
+        return at, at + len(text)
+    return None
+
+
+def _probe_for(turns: Sequence[Turn]) -> str:
+    used = set().union(*(set(role) | set(text) for role, text in turns))
+    return next((p for p in PROBES if p not in used), PROBES[0])
+
+
+def _each_alone(template: Render, turns: Sequence[Turn]) -> tuple[str, list[Span]] | None:
+    """Text and spans of a template that renders every turn by itself; None if it does not."""
+    text, probe = template(turns), _probe_for(turns)
+    spans: list[Span] = []
+    end = 0
+    for role, said in turns:
+        own = template([(role, said)])
+        if not text.startswith(own, end):
             return None
-        k //= 2
-    return ends
+        place = _text_place(own, template([(role, probe)]), probe, said)
+        spans.append((end, end + len(own), *((None, None) if place is None else (end + place[0], end + place[1]))))
+        end += len(own)
+    return (text, spans) if end == len(text) else None
 
 
-def locate(template: Render, turns: Sequence[Turn]) -> tuple[str, list[tuple[int, int, int, int]] | None]:
+def locate(template: Render, turns: Sequence[Turn], local: bool = False) -> tuple[str, list[Span] | None]:
     """The text, and per turn where its span and the turn's text in it start
     and end; None in place of those if the template rewrites history."""
-    text = template(turns)
-    ends = _windowed(template, turns) if len(turns) > WINDOW else None
-    if ends is None:
-        ends = _whole_prefixes(template, turns)
-    if ends is None:
-        return text, None
-    spans = []
-    for k, (role, _) in enumerate(turns):
-        near = list(turns[:k]) if k < WINDOW else [turns[0], *turns[k + 1 - WINDOW : k]]
-        before = template(near)
-        probed = template([*near, (role, _PROBE)])[len(before) :]
-        at = probed.rfind(_PROBE)
-        head, tail = (at, len(probed) - at - 1) if at >= 0 else (0, 0)
-        spans.append((ends[k], ends[k + 1], min(ends[k] + head, ends[k + 1]), max(ends[k + 1] - tail, ends[k])))
-    return text, spans
+    alone = _each_alone(template, turns) if local else None
+    if alone is not None:
+        return alone
+    probe = _probe_for(turns)
+    before, spans = template([]), []
+    for k, (role, said) in enumerate(turns):
+        now = template(turns[: k + 1])
+        if not now.startswith(before):
+            return template(turns), None
+        probed = template([*turns[:k], (role, probe)])
+        place = _text_place(now[len(before) :], probed[len(before) :], probe, said) if probed.startswith(before) else None
+        start = len(before)
+        spans.append((start, len(now), *((None, None) if place is None else (start + place[0], start + place[1]))))
+        before = now
+    return before, spans
 
 
 _SPAN = "struct<start:int,stop:int,text_start:int,text_stop:int,loss:boolean>"
@@ -136,9 +146,10 @@ def format_conversations(
     role_col: str = "role",
     text_col: str = "text",
     loss_role: str = "assistant",
+    local: bool = False,
 ) -> DataFrame:
     """``conv_id, formatted, rewrites_history, spans``: one row per conversation;
-    offsets count code points."""
+    offsets count code points; a turn without a place of its text has no loss."""
     names = ["conv", "turn", "role", "text"]
     slim = rows.select(*(common.quoted(c).alias(n) for c, n in zip((id_col, turn_col, role_col, text_col), names, strict=True)))
     id_type = slim.schema["conv"].dataType
@@ -152,9 +163,9 @@ def format_conversations(
         key: object = None
 
         def done() -> pa.RecordBatch:
-            text, spans = locate(template, held)
+            text, spans = locate(template, held, local)
             marks = None if spans is None else [
-                {"start": a, "stop": b, "text_start": c, "text_stop": d, "loss": role == loss_role}
+                {"start": a, "stop": b, "text_start": c, "text_stop": d, "loss": role == loss_role and c is not None}
                 for (a, b, c, d), (role, _) in zip(spans, held, strict=True)]
             kind = pa.list_(pa.struct([(n, pa.int32()) for n in ("start", "stop", "text_start", "text_stop")] + [("loss", pa.bool_())]))
             return pa.RecordBatch.from_arrays(
