@@ -1,131 +1,191 @@
 """Operator 10: a quality classifier by nearest-neighbour voting.
 
-Whole texts become counts of hashed terms that describe form rather than
-vocabulary: n-grams of character classes (case and letters fold to classes,
-punctuation stays), and how often words and lines repeat.  Inverse document
-frequencies and a truncated singular value decomposition of the labelled rows
-give latent-semantic vectors.  The labelled vectors are broadcast; every
-document's cosine with all of them is computed exactly, in blocks, and the
-``NEIGHBOURS`` nearest vote for their labels with their similarity as weight.
+The terms of a text are the tokens that a public vocabulary makes of it, and two
+more that stand for pairs and for runs of four tokens that the text had before.
+Damped relative frequencies times inverse document frequencies, and a truncated
+singular value decomposition of the labelled rows, give latent-semantic vectors.
+The labelled vectors are broadcast; every document's cosine with all of them is
+computed exactly, in blocks, and the ``NEIGHBOURS`` nearest vote for their
+labels, each with its similarity as weight.
 
 ``SAMPLE`` bounds the labelled rows per label (those of the smallest id hash),
 and with it the broadcast and the work per document.  Null and empty texts have
 a zero vector and get the label mean of the sample, as do all texts if nothing
-is labelled (then 0.5).  Rows that repeat an id count once as a label, by the
-smaller label.  An empty table gives an empty result; input columns named as
-an output column give way to it.
+is labelled (then 0.5).  A text of any length is read whole, about a megabyte at
+a time.  Of neighbours that tie for the last place any may vote.  Rows that
+repeat get the same score; rows that repeat an id count once as a label, by the
+smaller label and the smaller vector.  An empty table gives an empty result;
+input columns named as an output column give way to it.
 """
 
 from __future__ import annotations
 
+import base64
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from linkloom.llm import common
 
-#: Labelled rows per label, hashed terms, latent dimensions, voters.
-SAMPLE, TERMS, RANK, NEIGHBOURS = 2000, 2048, 48, 25
-#: The power of a similarity that weights a vote.
-SHARPNESS = 4
+#: Labelled rows per label, latent dimensions, voters.
+SAMPLE, RANK, NEIGHBOURS = 2000, 64, 9
+#: Lengths of the token runs that count as terms where they repeat, and the bits
+#: of the table that tells whether a run has been seen.
+RUNS, SEEN_BITS = (2, 4), 26
 _SEED = 20240229
-
-# Character classes: 1 lower case and every byte beyond ASCII, 2 upper case,
-# 3 digit, 4 space and control, 5 line end, from 7 punctuation, each its own.
-_CLASSES = 40
-_CLASS = np.full(256, 1, dtype=np.int64)
-_CLASS[ord("A") : ord("Z") + 1] = 2
-_CLASS[ord("0") : ord("9") + 1] = 3
-_CLASS[:33] = 4
-_CLASS[10] = 5
-for _k, _c in enumerate("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"):
-    _CLASS[ord(_c)] = 7 + _k
-_CLASS[127] = 4
-_REPEATS = 64  # terms for shares of repeated words and lines
-
-
-def _mixed(codes: np.ndarray) -> np.ndarray:
-    spread = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (spread >> np.uint64(40)).astype(np.int64) % (TERMS - _REPEATS)
-
-
-_PAIRS = _mixed(np.arange(_CLASSES**2) + 1)
-_TRIPLES = _mixed(np.arange(_CLASSES**3) + 10**6)
-
-
-def term_weights(text: str | None) -> np.ndarray:
-    """Damped relative frequencies of the terms of a whole text."""
-    out = np.zeros(TERMS, dtype=np.float32)
-    if not text:
-        return out
-    raw = text.encode("utf-8")
-    c = _CLASS[np.frombuffer(raw, dtype=np.uint8)]
-    counts = np.bincount(_PAIRS[c[:-1] * _CLASSES + c[1:]], minlength=TERMS).astype(np.float64)
-    if len(c) > 2:
-        counts += np.bincount(_TRIPLES[(c[:-2] * _CLASSES + c[1:-1]) * _CLASSES + c[2:]], minlength=TERMS)
-    out[:] = np.sqrt(counts / len(c))
-    words, lines = raw.split(), raw.split(b"\n")
-    for at, items in ((0, words), (2, lines)):
-        if items:
-            again = sum(map(bytes.__eq__, items[1:], items[:-1])) / len(items)
-            out[TERMS - _REPEATS + at] = 2 * np.sqrt(again)
-            seen = 1 - len(set(items)) / len(items)
-            out[TERMS - _REPEATS + at + 1] = seen if at else max(0.0, seen - 0.5)
-    return out
+#: Texts are cut before a space between letters: no token reaches across it.
+GAP = re.compile(rb"[A-Za-z0-9](?= [A-Za-z])")
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """A file of base64 tokens and ranks, and the pattern that splits texts for it."""
+
+    path: str
+    pattern: str
+
+
+_LOADED: dict[Vocabulary, tiktoken.Encoding] = {}
+
+
+def load(vocabulary: Vocabulary) -> tiktoken.Encoding:
+    """One per Python worker and file."""
+    if vocabulary not in _LOADED:
+        with open(vocabulary.path, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        _LOADED[vocabulary] = tiktoken.Encoding("public", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
+    return _LOADED[vocabulary]
+
+
+def _runs(ids: np.ndarray, length: int) -> np.ndarray:
+    """A number below 2 ** SEEN_BITS for every run of tokens."""
+    code = np.zeros(max(len(ids) - length + 1, 0), np.uint64)
+    for k in range(length):
+        code = (code + ids[k : len(ids) - length + 1 + k].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return (code >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+
+
+def terms(text: bytes | None, encoding: tiktoken.Encoding) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of a whole text, ascending, and their damped relative frequencies."""
+    parts = list(common.windows(text or b"", GAP)) if text and len(text) > common.BYTES else [text or b""]
+    repeated = np.zeros(len(RUNS))
+    if len(parts) == 1:
+        ids = np.array(encoding.encode_ordinary(parts[0].decode("utf-8", "replace")), dtype=np.int64)
+        n = len(ids)
+        found, counts = np.unique(ids, return_counts=True)
+        for k, length in enumerate(RUNS):
+            runs = _runs(ids, length)
+            repeated[k] = len(runs) - len(np.unique(runs))
+    else:
+        every, n = np.zeros(encoding.n_vocab, np.int64), 0
+        seen = [np.zeros(1 << SEEN_BITS, bool) for _ in RUNS]
+        tail = np.zeros(0, np.int64)
+        for part in parts:
+            ids = np.array(encoding.encode_ordinary(part.decode("utf-8", "replace")), dtype=np.int64)
+            n += len(ids)
+            every += np.bincount(ids, minlength=len(every))
+            ids = np.concatenate([tail, ids])
+            for k, length in enumerate(RUNS):
+                runs = _runs(ids[max(len(tail) - length + 1, 0) :], length)
+                repeated[k] += len(runs)
+                seen[k][runs] = True
+            tail = ids[-(max(RUNS) - 1) :]
+        repeated -= [int(np.count_nonzero(s)) for s in seen]
+        found = np.flatnonzero(every)
+        counts = every[found]
+    more = np.flatnonzero(repeated)
+    found = np.concatenate([found, encoding.n_vocab + more])
+    counts = np.concatenate([counts, repeated[more]])
+    return found, np.sqrt(counts / max(n, 1)).astype(np.float32)
 
 
 @dataclass
 class Model:
     """The latent space and the labelled vectors in it."""
 
+    vocabulary: Vocabulary
     project: np.ndarray  # terms x rank, with inverse document frequencies
     vectors: np.ndarray  # labelled rows x rank, of length one
     labels: np.ndarray
     mean: float
 
-    def score(self, texts: Sequence[str | None]) -> np.ndarray:
+    def vector(self, text: bytes | None) -> np.ndarray:
+        found, weights = terms(text, load(self.vocabulary))
+        return weights @ self.project[found]
+
+    def score(self, texts: Sequence[bytes | None]) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest neighbours."""
-        if not len(self.labels):
+        if not len(self.labels) or not len(texts):
             return np.full(len(texts), self.mean)
-        x = np.stack([term_weights(t) for t in texts]) @ self.project
+        x = np.stack([self.vector(t) for t in texts])
         length = np.linalg.norm(x, axis=1)
         x /= np.maximum(length, 1e-9)[:, None]
         cosine = x @ self.vectors.T
         k = min(NEIGHBOURS, len(self.labels))
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** SHARPNESS
+        weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64)
         total = weight.sum(1)
         votes = (weight * self.labels[near]).sum(1) / np.maximum(total, 1e-12)
         return np.where((length > 1e-9) & (total > 1e-12), np.clip(votes, 0, 1), self.mean)
 
 
-def fit_vectors(weights: np.ndarray, labels: np.ndarray) -> Model:
+class _Rows:
+    """Sparse rows, for products with narrow dense matrices."""
+
+    def __init__(self, rows: Sequence[tuple[np.ndarray, np.ndarray]], width: int):
+        self.rows, self.shape = rows, (len(rows), width)
+        at = np.concatenate([np.full(len(t), k) for k, (t, _) in enumerate(rows)])
+        term, weight = (np.concatenate(c) for c in zip(*rows, strict=True))
+        order = np.argsort(term, kind="stable")
+        self.at, self.weight = at[order], weight[order]
+        self.terms, self.starts = np.unique(term[order], return_index=True)
+
+    def times(self, dense: np.ndarray) -> np.ndarray:
+        return np.stack([w @ dense[t] for t, w in self.rows])
+
+    def transposed_times(self, dense: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.shape[1], dense.shape[1]), np.float32)
+        ends = [*self.starts[1:].tolist(), len(self.at)]
+        for t, a, b in zip(self.terms.tolist(), self.starts.tolist(), ends, strict=True):
+            out[t] = self.weight[a:b] @ dense[self.at[a:b]]
+        return out
+
+
+def fit_rows(rows: Sequence[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, vocabulary: Vocabulary) -> Model:
     """The decomposition of the labelled rows' weighted terms."""
+    width = load(vocabulary).n_vocab + len(RUNS)
     if not len(labels):
-        return Model(np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
-    idf = np.log((1 + len(weights)) / (1 + (weights > 0).sum(0))).astype(np.float32) + 1
-    x = weights * idf
-    rank = min(RANK, *x.shape)
+        return Model(vocabulary, np.zeros((width, 1), np.float32), np.zeros((0, 1), np.float32), labels, 0.5)
+    having = np.zeros(width)
+    for found, _ in rows:
+        having[found] += 1
+    idf = (np.log((1 + len(rows)) / (1 + having)) + 1).astype(np.float32)
+    x = _Rows([(t, w * idf[t]) for t, w in rows], width)
+    rank = min(RANK, len(rows))
     rng = np.random.default_rng(_SEED)
-    basis = rng.standard_normal((x.shape[1], min(rank + 16, *x.shape))).astype(np.float32)
+    basis = rng.standard_normal((width, min(rank + 16, len(rows)))).astype(np.float32)
     for _ in range(4):  # randomised range finding, with powers
-        left, _r = np.linalg.qr(x @ basis)
-        basis, _r = np.linalg.qr(x.T @ left)
-    _u, _s, vt = np.linalg.svd(x @ basis, full_matrices=False)
+        left, _r = np.linalg.qr(x.times(basis))
+        basis, _r = np.linalg.qr(x.transposed_times(left))
+    _u, _s, vt = np.linalg.svd(x.times(basis), full_matrices=False)
     project = idf[:, None] * (basis @ vt.T[:, :rank]).astype(np.float32)
-    vectors = weights @ project
+    project[having == 0] = 0  # a term that no labelled row has says nothing
+    vectors = np.stack([w @ project[t] for t, w in rows])
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-9)[:, None]
-    return Model(project, vectors.astype(np.float32), labels.astype(np.float64), float(labels.mean()))
+    return Model(vocabulary, project, vectors.astype(np.float32), labels.astype(np.float64), float(labels.mean()))
 
 
 def fit(
     docs: DataFrame,
     labels: DataFrame,
+    vocabulary: Vocabulary,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
@@ -148,17 +208,21 @@ def fit(
     )
 
     def make():
+        encoding = load(vocabulary)
+
         def fn(texts: list) -> list[pa.Array]:
-            return [pa.array([term_weights(t).astype("<f2").tobytes() for t in texts], pa.binary())]
+            found = [terms(t, encoding) for t in texts]
+            return [pa.array([t.astype("<i4").tobytes() for t, _ in found], pa.binary()),
+                    pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary())]
 
         return fn
 
-    found = common.append_from_text(
-        rows, "__text", make, [T.StructField("w", T.BinaryType())], ["__id", "__label"]
-    ).groupBy("__id", "__label").agg(F.min("w").alias("w")).collect()
+    fields = [T.StructField("t", T.BinaryType()), T.StructField("w", T.BinaryType())]
+    found = common.append_from_text(rows, "__text", make, fields, ["__id", "__label"], as_bytes=True).groupBy(
+        "__id", "__label").agg(F.min(F.struct("t", "w")).alias("v")).select("__id", "__label", "v.*").collect()
     found.sort(key=lambda r: r["__id"])
-    weights = np.array([np.frombuffer(r["w"], "<f2") for r in found], dtype=np.float32).reshape(-1, TERMS)
-    return fit_vectors(weights, np.array([r["__label"] for r in found], dtype=np.float64))
+    vectors = [(np.frombuffer(r["t"], "<i4").astype(np.int64), np.frombuffer(r["w"], "<f4")) for r in found]
+    return fit_rows(vectors, np.array([r["__label"] for r in found], dtype=np.float64), vocabulary)
 
 
 def score(
@@ -170,7 +234,7 @@ def score(
     predicted_col: str = "predicted",
 ) -> DataFrame:
     """``keep`` (default: all columns) with the score and its rounding."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE, TERMS and RANK
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE, RANK and the vocabulary
 
     def make():
         def fn(texts: list) -> list[pa.Array]:
@@ -180,4 +244,4 @@ def score(
         return fn
 
     fields = [T.StructField(score_col, T.DoubleType()), T.StructField(predicted_col, T.IntegerType())]
-    return common.append_from_text(docs, text_col, make, fields, keep)
+    return common.append_from_text(docs, text_col, make, fields, keep, as_bytes=True)

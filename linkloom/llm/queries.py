@@ -24,6 +24,8 @@ from linkloom.llm import (
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = quality.Vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+VOCABULARIES = (PIECES, BYTES)
 END_ID = 2
 
 URL_RULES = {
@@ -47,7 +49,7 @@ MIX_REST, MIX_BLOCK = 1, 32
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Model:
     """Learnt from labels whose id is not held out."""
     labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return quality.fit(docs, labels.filter(common.bucket_of(F.col("doc_id"), 3) != 1))
+    return quality.fit(docs, labels.filter(common.bucket_of(F.col("doc_id"), 3) != 1), BYTES)
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +79,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fertility.judge(common.table(spark, sf_dir, "documents"), PIECES, keep=["doc_id"])
+    docs = common.table(spark, sf_dir, "documents")
+    labels = common.table(spark, sf_dir, "labels").filter(common.bucket_of(F.col("doc_id"), 3) != 1)
+    bands = fertility.learn(docs, labels, VOCABULARIES)
+    return fertility.judge(docs, VOCABULARIES, bands, keep=["doc_id"])
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
