@@ -1,16 +1,22 @@
 """Operator 7: exact duplicates, with DataFrame operations only.
 
 Texts are equal when they are identical after lower-casing A-Z; a null text
-counts as empty.  Rows are grouped by the 128-bit hash of that text *and* the
-text itself, so that the grouping compares bytes and a hash collision never
-joins two texts; counts are combined before the shuffle, so a group of any
-size costs one row per task.  Only ids and digests then meet their group again;
-the shuffle that AQE splits for a hot hash carries what the caller keeps.
+counts as empty.  The 128-bit hashes of those texts are counted first.  Only
+texts whose hash occurs twice or more are then shuffled and grouped by hash
+*and* text: the grouping compares bytes, so a hash collision never joins two
+texts.  Counts combine before the shuffle, so a group of any size costs one row
+per task.  Rows meet their group again by hash and digest.
+
+The hashes that repeat and the groups are tables in the shared folder.  Spark
+knows their size from the files when it plans the joins with them: small ones
+are broadcast, larger ones are shuffled, and AQE splits a hot hash.
 
 The largest id of a group stays (``smallest=True``: the smallest).  Null ids
 lose against others; rows that repeat both id and text are one document and
-share its verdict.  An empty table gives an empty result, and input columns
-named as an output column give way to it.
+share its verdict (:func:`first_copies` leaves one of them).  Texts of any
+length are compared whole.  An empty table gives an empty result; input columns
+named as an output column give way to it, and no other name is in the way of the
+private ones, which go by position.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from pyspark.sql import functions as F
 from linkloom.llm import common
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+MADE = ("keep_id", "group_size", "kept", "text_sha256")
 
 
 def normalised(text: Column) -> Column:
@@ -34,23 +41,20 @@ def hash128(text: Column) -> Column:
 
 
 def groups_of(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    smallest: bool,
-    hash_fn: Callable[[Column], Column],
+    texts: DataFrame, hashes: DataFrame, smallest: bool = False
 ) -> DataFrame:
-    """One row per text that occurs at least twice, and per text whose hash
-    another text shares: hash, digest, the id that stays, and the size."""
-    text = normalised(common.quoted(text_col))
+    """One row per text that occurs at least twice: ``hash``, ``sha``, ``best``
+    id and ``size``.  ``texts`` has ``id, norm, hash`` of every row, ``hashes``
+    the hashes of all rows."""
+    repeated = common.written(
+        hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "hashes")
     best = F.min if smallest else F.max
     return (
-        docs.select(common.quoted(id_col).alias("__id"), text.alias("__norm"))
-        .withColumn("__hash", hash_fn(F.col("__norm")))
-        .groupBy("__hash", "__norm")
-        .agg(F.count(F.lit(1)).alias("__size"), best("__id").alias("__keep"))
-        .select("__hash", F.sha2(F.col("__norm").cast("binary"), 256).alias("__sha"), "__keep", "__size")
-        .filter(F.col("__size") > 1)
+        texts.join(repeated, "hash", "left_semi")
+        .groupBy("hash", "norm")
+        .agg(F.count(F.lit(1)).alias("size"), best("id").alias("best"))
+        .filter("size > 1")
+        .select("hash", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "best", "size")
     )
 
 
@@ -64,24 +68,38 @@ def exact_dedup(
 ) -> DataFrame:
     """``keep`` (default: all columns) with ``keep_id``, ``group_size``,
     ``kept`` and ``text_sha256``; no row is dropped."""
-    made = ["keep_id", "group_size", "kept", "text_sha256"]
-    kept = common.without(docs.columns if keep is None else keep, made)
-    groups = groups_of(docs, id_col, text_col, smallest, hash_fn)
-    text = normalised(common.quoted(text_col))
-    rows = (
-        docs.withColumn("__norm", text)
-        .withColumn("__hash", hash_fn(F.col("__norm")))
-        .withColumn("__sha", F.sha2(F.col("__norm").cast("binary"), 256))
-        .select(*map(common.quoted, kept), common.quoted(id_col).alias("__id"), "__hash", "__sha")
-    )
+    kept = common.without(docs.columns if keep is None else keep, MADE)
+    texts = docs.select(
+        *(common.quoted(c).alias(f"k{i}") for i, c in enumerate(kept)),
+        common.quoted(id_col).alias("id"), normalised(common.quoted(text_col)).alias("norm"),
+    ).withColumn("hash", hash_fn(F.col("norm")))
+    own = [f"k{i}" for i in range(len(kept))]
+    rows = texts.select(*own, "id", "hash", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
+    if text_col.lower() not in (c.lower() for c in kept):
+        rows = common.written(rows, "hashes")  # narrow rows: hash the texts once
+    groups = common.written(groups_of(texts.select("id", "norm", "hash"), rows.select("hash"), smallest), "groups")
     return (
-        rows.join(groups, ["__hash", "__sha"], "left")
-        .withColumn("keep_id", F.coalesce("__keep", "__id"))
+        rows.join(groups, ["hash", "sha"], "left")
+        .withColumn("keep_id", F.coalesce("best", "id"))
         .select(
-            *map(common.quoted, kept),
+            *(F.col(o).alias(c) for o, c in zip(own, kept, strict=True)),
             "keep_id",
-            F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
-            F.col("__id").eqNullSafe(F.col("keep_id")).alias("kept"),
-            F.col("__sha").alias("text_sha256"),
+            F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            F.col("sha").alias("text_sha256"),
         )
     )
+
+
+def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per text: :func:`exact_dedup` without what it drops,
+    and one of the rows that repeat both id and text."""
+    columns = docs.columns
+    renamed = docs.select(
+        *(common.quoted(c).alias(f"c{i}") for i, c in enumerate(columns)),
+        common.quoted(id_col).alias("own_id"), common.quoted(text_col).alias("own_text"))
+    found = exact_dedup(renamed, "own_id", "own_text").filter("kept")
+    lone = found.filter("group_size = 1")
+    # At most a few rows of each group are left here.
+    several = found.filter("group_size > 1").dropDuplicates(["text_sha256"])
+    return lone.unionByName(several).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
