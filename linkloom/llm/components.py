@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from linkloom.llm import common
 
 
-def rejoined(rows: DataFrame, grouped: DataFrame, key: str) -> DataFrame:
-    """``rows`` with what was computed per ``key``, a long.
+def rejoined(rows: DataFrame, grouped: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """``rows`` with what was computed per ``key``.
 
-    Joined on the key's complement: the grouped side is then dealt anew instead
-    of both sides keeping the grouping's partitions, and AQE can split the rows
-    of a hot key.
+    Joined on the key and a hash of it: the grouped side is then dealt anew
+    instead of both sides keeping the grouping's partitions, and AQE can split
+    the rows of a hot key.
     """
-    right = grouped.withColumn("__k", F.bitwise_not(key)).drop(key)
-    return rows.withColumn("__k", F.bitwise_not(key)).join(right, "__k").drop("__k")
+    keys = [key] if isinstance(key, str) else key
+    again = F.xxhash64(*keys)
+    return rows.withColumn("dealt", again).join(grouped.withColumn("dealt", again), [*keys, "dealt"], how).drop("dealt")
 
 
 def _star(edges: DataFrame, larger_only: bool) -> DataFrame:

@@ -19,8 +19,9 @@ round of jobs goes one branching deeper, past segments that all paths share.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower
 case; path: then up to ``?``, ``#`` or the end.  A null URL and one without
-``://`` have empty host and path, no template, and are allowed.  Repeated rows
-each count and each get a verdict; an empty table gives an empty result; input
+``://`` have empty host and path, no template, and are allowed.  A URL of any
+length is judged whole; of rules of equal length that fit the first by name
+counts.  Repeated rows each count and each get a verdict; an empty table gives an empty result; input
 columns named as an output column give way to it.
 """
 
@@ -37,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm import common
+from linkloom.llm.components import rejoined
 from linkloom.llm.exact_dedup import LOWER, UPPER
 
 #: A node's children are variable if so many are distinct, and so large a share.
@@ -79,7 +81,7 @@ def _generalise(paths: DataFrame) -> DataFrame:
         .select("host", "p", F.lit(True).alias("variable"))
     )
     wild = F.col("variable").isNotNull() & (F.col("s") != "")
-    return paths.join(variable, ["host", "p"], "left").withColumn("s", F.when(wild, "/*").otherwise(F.col("s"))).drop("variable")
+    return rejoined(paths, variable, ["host", "p"], "left").withColumn("s", F.when(wild, "/*").otherwise(F.col("s"))).drop("variable")
 
 
 def _alike(branches: dict[str, dict]) -> dict[str, str]:
@@ -146,7 +148,7 @@ def _merge(paths: DataFrame) -> DataFrame:
     branch = branch.join(several, node)
     own = kinds.select(*node, "s", "kind", F.col("n").alias("k")).join(branch.select(*node, "s"), [*node, "s"])
     having = own.groupBy(*node, "kind").agg(F.count(F.lit(1)).alias("having"))
-    own = own.join(having, [*node, "kind"])
+    own = rejoined(own, having, [*node, "kind"])
     shared = own.filter("having > 1").select(*node, "s", "kind", "k")
     alone = own.filter("having = 1").groupBy(*node, "s").agg(F.max("k").alias("alone"))
     rows = (
@@ -156,7 +158,7 @@ def _merge(paths: DataFrame) -> DataFrame:
     )
     named = rows.groupBy(*node).applyInArrow(_named, "host string, p string, s string, head string")
     group = F.concat(F.lit("/{"), F.substring("head", 2, 10**6), F.lit("}"))
-    return paths.join(named, [*node, "s"], "left").withColumn("s", F.coalesce(group, F.col("s"))).drop("head")
+    return rejoined(paths, named, [*node, "s"], "left").withColumn("s", F.coalesce(group, F.col("s"))).drop("head")
 
 
 def _skip(paths: DataFrame) -> DataFrame:
@@ -166,7 +168,7 @@ def _skip(paths: DataFrame) -> DataFrame:
     same = F.zip_with("lo", "hi", lambda a, b: a.eqNullSafe(b))
     ends = ends.select("host", "p", (F.array_position(same, False) - 1).cast("int").alias("shared"))
     alike = F.when(F.col("shared") < 0, F.size("tail")).otherwise(F.col("shared"))
-    return paths.join(ends, ["host", "p"]).select(
+    return rejoined(paths, ends, ["host", "p"]).select(
         "host", "raw", F.concat("p", F.array_join(F.slice("tail", F.lit(1), alike), "")).alias("p"),
         F.slice("tail", alike + 1, F.greatest(F.size("tail"), F.lit(1))).alias("tail"),
         "n", "blocked", "allowed", (F.col("shared") >= 0).alias("open"))
@@ -192,7 +194,7 @@ def templates(paths: DataFrame) -> DataFrame:
     now = reduce(DataFrame.unionByName, ready)
     pure = now.groupBy("host", "p").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")).withColumn(
         "purity", (F.col("blocked") + 1) / (F.col("blocked") + F.col("allowed") + 2))
-    return now.select("host", "raw", "p").join(pure, ["host", "p"]).select("host", "raw", F.col("p").alias("template"), "purity")
+    return rejoined(now.select("host", "raw", "p"), pure, ["host", "p"]).select("host", "raw", F.col("p").alias("template"), "purity")
 
 
 def judge_urls(
@@ -221,7 +223,7 @@ def judge_urls(
         )
     )
     judged = F.when(F.col("purity") >= PURITY, "block").otherwise("allow")
-    return rows.join(templates(paths), ["host", "raw"], "left").select(
+    return rejoined(rows, templates(paths), ["host", "raw"], "left").select(
         *(F.col(f"__k{i}").alias(c) for i, c in enumerate(kept)),
         "host", "path", "rule", F.coalesce("by_rule", judged).alias("verdict"), "template", "purity",
     )
