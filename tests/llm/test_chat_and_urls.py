@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 from hypothesis import given, settings
@@ -29,15 +30,59 @@ def test_spans_and_parse(turns):
     assert [chat_format.unescape(text[c:d]) for _, _, c, d in spans] == [t for _, t in turns]
 
 
-def test_templates_that_rewrite_history():
-    last_only = lambda turns: "".join(f"{r}:{t if k == len(turns) - 1 else t[:1]};" for k, (r, t) in enumerate(turns))
-    turns = [("user", f"text {k}") for k in range(40)]
-    assert chat_format.locate(last_only, turns)[1] is None
-    assert chat_format.locate(last_only, turns[:3])[1] is None
-    # A template that numbers its turns is not local, yet keeps its history.
-    numbered = lambda turns: "".join(f"{k}{r}:{t};" for k, (r, t) in enumerate(turns))
-    text, spans = chat_format.locate(numbered, turns)
-    assert [text[a:b] for a, b, _, _ in spans] == [f"{k}user:text {k};" for k in range(40)]
+def joined(one):
+    return lambda turns: "".join(one(k, len(turns), r, t) for k, (r, t) in enumerate(turns))
+
+
+def rewriting(changes):
+    """The first turn is dropped where ``changes`` says so of the number of turns."""
+    return lambda turns: "".join(f"{r}:{t};" for r, t in (turns[1:] if turns and changes(len(turns)) else turns))
+
+
+TEMPLATES = {  # name: template, and whether it rewrites at one of 0 to n turns
+    "numbered": (joined(lambda k, n, r, t: f"{k}{r}:{t};"), lambda n: False),
+    "plain": (joined(lambda k, n, r, t: f"<{r}>{t}</{r}>"), lambda n: False),
+    "counted": (joined(lambda k, n, r, t: f"[{len(t)}]{t};"), lambda n: False),
+    "once at 18": (rewriting(lambda n: n == 18), lambda n: n >= 18),
+    "multiples of 20": (rewriting(lambda n: n % 20 == 0), lambda n: n >= 20),
+    "last only": (joined(lambda k, n, r, t: f"{r}:{t if k == n - 1 else t[:1]};"), lambda n: n > 1),
+    "after a user": (lambda turns: f"{len(turns)};" if len(turns) > 40 and turns[-1][0] == "user" else
+                     "".join(f"{r}:{t};" for r, t in turns), lambda n: n > 40),
+}
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.sampled_from(sorted(TEMPLATES)), st.integers(0, 150))
+def test_any_template_at_any_length(name, n):
+    template, rewrites = TEMPLATES[name]
+    turns = [("user" if k % 2 == 0 else "assistant", f"text {k}") for k in range(n)]
+    text, spans = chat_format.locate(template, turns)
+    prefixes = [template(turns[:k]) for k in range(n + 1)]
+    kept = all(b.startswith(a) for a, b in zip(prefixes, prefixes[1:], strict=False))
+    assert kept != rewrites(n) and text == prefixes[-1]
+    assert (spans is not None) == kept
+    for k, (start, stop, a, b) in enumerate(spans or []):
+        assert (start, stop) == (len(prefixes[k]), len(prefixes[k + 1]))
+        assert text[a:b] == turns[k][1]
+
+
+def test_places_of_texts():
+    turns = [("u", "same"), ("\ue000", "same"), ("u", "\ue000 \ue001"), ("u", "")]
+    said = lambda template: [text[a:b] if a is not None else None for text, spans in [chat_format.locate(template, turns)]
+                             for _, _, a, b in spans]
+    assert said(joined(lambda k, n, r, t: f"{t}|{r}")) == [t for _, t in turns]
+    assert said(joined(lambda k, n, r, t: f"{t.upper()}|")) == ["SAME", "SAME", "\ue000 \ue001", ""]
+    assert said(joined(lambda k, n, r, t: f"{t}={t};")) == [None] * 4  # which of the two is not told
+    assert said(joined(lambda k, n, r, t: f"{len(t)}:{t};")) == ["same", "same", "\ue000 \ue001", None]
+    assert said(joined(lambda k, n, r, t: "x")) == [None] * 4
+
+
+def test_local_templates():
+    turns = [("user", f"text {k}") for k in range(30)]
+    plain, numbered = TEMPLATES["plain"][0], TEMPLATES["numbered"][0]
+    for template in (plain, numbered, chat_format.render):  # numbered is not local, whatever its caller says
+        assert chat_format.locate(template, turns, local=True) == chat_format.locate(template, turns)
+    assert chat_format.locate(TEMPLATES["last only"][0], turns, local=True)[1] is None
 
 
 def test_conversations(spark):
@@ -161,6 +206,96 @@ def test_branches_alike_merge_beside_a_heavier_other(spark):
     assert {r["verdict"] for r in rows} == {"block"}
 
 
+def plain_verdicts(urls, rules):
+    """The whole tree of every host, in plain Python over all URLs."""
+    parts = [plain_parts(u) for u in urls]
+    named = [plain_rule(h, p, rules) for h, p in parts]
+    raws = [re.sub("[0-9]+", "0", p) for _, p in parts]
+    bound = lambda n: math.sqrt(0.5 * math.log(2 / 0.05)) / math.sqrt(n)
+    template = {}
+
+    def grow(rows, done):
+        """``rows``: (index, rest of the segments) of one node."""
+        lead = 0
+        while len({tuple(rest[lead : lead + 1]) for _, rest in rows}) == 1 and rows[0][1][lead : lead + 1]:
+            lead += 1
+        done += "".join(rows[0][1][:lead])
+        rows = [(i, rest[lead:]) for i, rest in rows]
+        if all(not rest for _, rest in rows):
+            for i, _ in rows:
+                template[i] = done
+            return
+        first = lambda rest: rest[0] if rest else ""
+        kids = Counter(first(rest) for _, rest in rows)
+        if len(kids) >= 8 and len(kids) >= 0.3 * len(rows):
+            rows = [(i, ["/*", *rest[1:]] if rest else rest) for i, rest in rows]
+        groups = {}
+        for i, rest in rows:
+            groups.setdefault(first(rest), []).append((i, rest))
+        about = {}
+        for s, own in groups.items():
+            if s and len(own) >= 10:
+                kinds = Counter(rest[1] if len(rest) > 1 else "" for _, rest in own)
+                about[s] = (len(own), kinds, *(sum(rules.get(named[i]) == v for i, _ in own) for v in ("block", "allow")))
+        heads, to = [], {}
+        for s in sorted(about, key=lambda s: (about[s][0], s), reverse=True):
+            n, kinds, *labels = about[s]
+            for h in heads:
+                hn, hkinds, *hlabels = about[h]
+                own_missing = sum(hkinds[k] for k in hkinds if k not in kinds) / hn
+                gaps = [abs(kinds[k] / n - hkinds[k] / hn) for k in kinds] + [own_missing]
+                gaps += [abs(a / n - b / hn) for a, b in zip(labels, hlabels, strict=True)]
+                if max(gaps) < bound(n) + bound(hn):
+                    to[s] = to[h] = h
+                    break
+            else:
+                heads.append(s)
+        merged = {}
+        for s, own in groups.items():
+            merged.setdefault(f"/{{{to[s][1:]}}}" if s in to else s, []).extend(own)
+        for s, own in merged.items():
+            grow([(i, rest[1:]) for i, rest in own], done + s)
+
+    hosts = {}
+    for i, (host, _) in enumerate(parts):
+        if host:
+            hosts.setdefault(host, []).append((i, ["/" + x for x in raws[i].split("/")[1:]]))
+    for rows in hosts.values():
+        grow(rows, "")
+    counts = Counter((parts[i][0], template[i], rules.get(named[i])) for i in template)
+    out = []
+    for i, (host, path) in enumerate(parts):
+        blocked, allowed = (counts[host, template.get(i), v] for v in ("block", "allow"))
+        pure = i in template and (blocked + 1) / (blocked + allowed + 2) >= url_filter.PURITY
+        out.append((host, path, named[i], rules.get(named[i], "block" if pure else "allow"), template.get(i)))
+    return out
+
+
+def test_query_equals_a_plain_tree(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url").collect()
+    rows = {r["page_id"]: r for r in queries.op1_url_filter(spark, "/root/testdata/sf0.01").collect()}
+    want = plain_verdicts([r["url"] for r in pages], queries.URL_RULES)
+    assert len(rows) == len(pages)
+    for page, (host, path, rule, verdict, template) in zip(pages, want, strict=True):
+        got = rows[page["page_id"]]
+        assert (got["host"], got["path"], got["rule"], got["verdict"], got["template"]) == (host, path, rule, verdict, template)
+
+
+def test_random_trees_equal_a_plain_version(spark):
+    rng = random.Random(11)
+    urls = []
+    for host in ("one.com", "two.com", "three.org"):
+        depth = rng.randint(2, 6)
+        for _ in range(400):
+            urls.append(f"http://{host}/" + "/".join(rng.choice(["a", "b", "spam", "x%d" % rng.randint(0, 40), "item-%d" % rng.randint(0, 9)])
+                                                       for _ in range(rng.randint(0, depth))))
+    rules = {"one.com/spam/": "block", "two.com/a/": "allow", "two.com/b/spam": "block", "three.org/x": "block"}
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = {r["page_id"]: r for r in url_filter.judge_urls(frame, rules).collect()}
+    for k, (_, _, rule, verdict, template) in enumerate(plain_verdicts(urls, rules)):
+        assert (rows[k]["rule"], rows[k]["verdict"], rows[k]["template"]) == (rule, verdict, template), urls[k]
+
+
 def test_heads_equal_a_plain_version():
     rng = random.Random(5)
     for _ in range(200):

@@ -37,6 +37,8 @@ def test_exact_groups(spark):
     docs = spark.createDataFrame([(d, t, "mine") for d, t in ROWS], "doc_id long, text string, KEPT string")
     found = exact_dedup.exact_dedup(docs, keep=["doc_id"])
     assert sorted(map(tuple, found.collect()), key=key) == sorted(expected_exact(ROWS), key=key)
+    whole = exact_dedup.exact_dedup(docs).select("doc_id", *exact_dedup.MADE)  # hashed with the texts, not from a table
+    assert sorted(map(tuple, whole.collect()), key=key) == sorted(expected_exact(ROWS), key=key)
     assert exact_dedup.exact_dedup(docs).columns == ["doc_id", "text", "keep_id", "group_size", "kept", "text_sha256"]
 
 
@@ -46,6 +48,55 @@ def test_hash_collisions_join_nothing(spark):
     assert sorted(map(tuple, found.collect()), key=key) == sorted(expected_exact(ROWS), key=key)
 
 
+CLASHES = ("__hash", "__size", "__norm", "__id", "__same", "fp", "id", "row", "hash", "sha", "best", "size", "k0", "root", "own_id")
+
+
+def test_no_name_of_the_callers_clashes(spark):
+    schema = "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame([(d, t, *(f"{c}{d}" for c in CLASHES)) for d, t in ROWS[:7]], schema)
+    for found in (exact_dedup.exact_dedup(docs), exact_dedup.first_copies(docs), simhash.near_duplicates(docs), simhash.first_of_groups(docs)):
+        rows = found.collect()
+        assert found.columns[: len(CLASHES) + 2] == docs.columns
+        assert rows and all(r[c] == f"{c}{r['doc_id']}" for r in rows for c in CLASHES)
+    assert exact_dedup.exact_dedup(docs).count() == simhash.near_duplicates(docs).count() == 7
+
+
+def test_one_row_of_every_text(spark):
+    rows = [*ROWS, (2, "SAME"), (9, "X" * 100_000), (None, "alone"), (4, None)]
+    docs = spark.createDataFrame([(d, t, k) for k, (d, t) in enumerate(rows)], "doc_id long, text string, k int")
+    found = exact_dedup.first_copies(docs)
+    assert found.columns == docs.columns
+    want = {}
+    for d, t in rows:
+        norm = (t or "").translate(LOWER)
+        want[norm] = max(want.get(norm, -1), -1 if d is None else d)
+    got = [((r["text"] or "").translate(LOWER), -1 if r["doc_id"] is None else r["doc_id"]) for r in found.collect()]
+    assert sorted(got) == sorted(want.items())
+    assert exact_dedup.first_copies(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_every_group(spark):
+    base = " ".join(f"w{k}" for k in range(400))
+    rows = [(5, base), (6, base + " tail"), (5, base + " other tail"), (None, base + " end"), (7, None), (None, ""), (8, " \n"),
+            (None, "words of their own here"), (None, "words of their own here"), (12, "yet other words entirely in this")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["text"]) for r in simhash.first_of_groups(docs).collect()]
+    assert sum(d == 5 for d, _ in found) == 1 and not any(d in (6, 8) for d, _ in found)
+    assert sorted((d is None, d or 0) for d, _ in found) == [(False, 5), (False, 7), (False, 12), (True, 0), (True, 0)]
+    assert simhash.first_of_groups(docs.limit(0)).count() == 0
+
+
+def test_only_repeated_texts_are_shuffled(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    texts = docs.select(F.col("doc_id").alias("id"), exact_dedup.normalised(F.col("text")).alias("norm")).withColumn(
+        "hash", exact_dedup.hash128(F.col("norm")))
+    grouped = exact_dedup.groups_of(texts, texts.select("hash"))
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    # The texts meet the repeated hashes, a table whose size Spark knows, before any shuffle.
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert plan.index("LeftSemi") > plan.index("HashAggregate") and "SortMergeJoin" not in plan
+
+
 def test_smallest_id_and_empty_table(spark):
     docs = spark.createDataFrame([(3, "a"), (2, "A")], "doc_id long, text string")
     assert {r["keep_id"] for r in exact_dedup.exact_dedup(docs, smallest=True).collect()} == {2}
@@ -74,8 +125,16 @@ def test_fingerprints():
     rng = random.Random(1)
     for n in (0, 1, 3, 4, 5, 17, 300):
         text = "".join(rng.choice(["Word", "é", "a\xa0b", "X1"]) + rng.choice([" ", "\n", "  ", "\t", "\x0b"]) for _ in range(n))
-        assert simhash.fingerprint(text) == plain_fingerprint(text)
-    assert simhash.fingerprint(None) == simhash.fingerprint(" \n") == 0
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+    assert simhash.fingerprint(None) == simhash.fingerprint(b" \n") == 0
+
+
+def test_fingerprints_of_long_texts_in_turns(monkeypatch):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(["Word", "é", "a\xa0b", "X1", "y" * 90]) + rng.choice([" ", "\n", "  "]) for _ in range(n)) for n in (1, 4, 5, 9, 400)]
+    monkeypatch.setattr(simhash.common.windows, "__defaults__", (30,))
+    for text in texts:
+        assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
 
 
 def test_spark_hashes_alike(spark):

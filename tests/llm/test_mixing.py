@@ -4,7 +4,7 @@ from fractions import Fraction
 
 import pytest
 
-from linkloom.llm import mixing
+from linkloom.llm import common, mixing
 
 
 def plain_schedule(pools):
@@ -92,6 +92,40 @@ def test_layout_and_empty_table(spark):
         mixing.mix(docs, {"a": 0})
 
 
+def test_names_cannot_clash_and_buckets_grow(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    names = ("__hash", "__id", "hash", "id", "k", "k0", "bucket", "first", "place", "inner", "tie")
+    docs = spark.createDataFrame([(k, "a" if k % 3 else "b", *(f"{n}{k}" for n in names)) for k in range(300)],
+                                 "doc_id long, source string, " + ", ".join(f"`{n}` string" for n in names))
+    found = mixing.mix(docs, {"a": 2, "b": 1}, 1, 4).collect()
+    assert len({r["position"] for r in found}) == 300
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in found for n in names)
+
+
+def test_no_array_enters_the_window(spark):
+    docs = spark.createDataFrame([(k, "a") for k in range(50)], "doc_id long, source string")
+    plan = mixing.mix(docs, {"a": 1})._jdf.queryExecution().optimizedPlan()
+
+    def nodes(node):
+        yield node
+        for k in range(node.children().size()):
+            yield from nodes(node.children().apply(k))
+
+    windows = [n for n in nodes(plan) if n.nodeName() == "Window"]
+    assert windows and all("array" not in n.children().apply(0).schema().simpleString() for n in windows)
+
+
+def test_files_keep_the_order(spark):
+    docs = spark.createDataFrame([(k, "a" if k % 3 else "b") for k in range(2000)], "doc_id long, source string").repartition(4)
+    mixed = mixing.mix(docs, {"a": 1, "b": 1}, 1, 4)
+    want = [r["doc_id"] for r in sorted(mixed.collect(), key=lambda r: r["position"])]
+    laid = common.written(mixing.in_order(mixed).select("doc_id", "source"), "laid")
+    rows = laid.select("doc_id", *mixing.place_in_files(laid)).collect()
+    assert [r["doc_id"] for r in sorted(rows, key=lambda r: (r["mix_file"], r["mix_row"]))] == want
+    loose = docs.select("doc_id", *mixing.place_in_files(docs)).first()
+    assert loose["mix_file"] is None and loose["mix_row"] is None
+
+
 def test_plan_is_native(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, source string")
     plan = mixing.mix(docs, {"a": 1})._jdf.queryExecution().toString()
