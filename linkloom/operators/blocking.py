@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from linkloom.functions import text
+from linkloom.sources.tables import stored
 
 MAX_BUCKET, ADDRESS_KEYS = 5000, 2
 KEY = ["kind", "country", "key"]
@@ -34,6 +35,12 @@ def normalised(records: DataFrame, na_mode: str = "text") -> DataFrame:
     )
 
 
+def normal_forms(s1: DataFrame, s23: DataFrame, na_mode: str = "text") -> tuple[DataFrame, DataFrame]:
+    """:func:`normalised` of both sides as stored tables: blocks, scores and
+    features read them, and no record is normalised twice."""
+    return stored(normalised(s1, na_mode), "forms"), stored(normalised(s23, na_mode), "forms")
+
+
 def _single(kind: str, key: Column) -> Column:
     return F.array(F.struct(F.lit(kind).alias("kind"), key.alias("key"), F.lit(0).alias("pos")))
 
@@ -92,13 +99,21 @@ def candidates(
     per_entity: int = ADDRESS_KEYS,
     kinds: Sequence[str] = BLOCKS,
     na_mode: str = "text",
+    forms: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
-    """Distinct ``source1_entity_id, candidate_entity_id`` that share a block."""
-    left, right = keys(normalised(s1, na_mode), kinds), keys(normalised(s23, na_mode), kinds)
+    """Distinct ``source1_entity_id, candidate_entity_id`` that share a block;
+    ``forms`` from :func:`normal_forms` saves computing them."""
+    if forms is None:
+        # Frequencies and pairs both read S2 and S3, rare words and probes both read S1.
+        several = "address_word" in kinds
+        forms = normal_forms(s1, s23, na_mode) if several else (normalised(s1, na_mode), normalised(s23, na_mode))
+    left, right = keys(forms[0], kinds), keys(forms[1], kinds)
     is_word = F.col("kind") == "address_word"
-    freq = frequencies(right.filter(is_word))
-    rare = rare_words(left.filter(is_word), freq, max_bucket, per_entity).select("entity_id", *KEY)
-    probes = left.filter(~is_word).select("entity_id", *KEY).unionByName(rare)
+    probes = left.filter(~is_word).select("entity_id", *KEY)
+    if "address_word" in kinds:
+        freq = frequencies(right.filter(is_word))
+        rare = rare_words(left.filter(is_word), freq, max_bucket, per_entity).select("entity_id", *KEY)
+        probes = probes.unionByName(rare)
     return paired(probes, right)
 
 

@@ -57,16 +57,34 @@ def _each(values: Sequence[float]) -> Column:
 
 
 def sweep(ids: DataFrame, truth: DataFrame, scored: DataFrame, score: str, thresholds: Sequence[float] = GRID) -> DataFrame:
-    """Macro measures, pairs and matches per threshold, in one job."""
-    rows = scored.select(*PAIR, F.col(score).alias("score"), _each(thresholds).alias("threshold"))
-    up = F.col("score") >= F.col("threshold")
-    measures = macro_f05(ids.withColumn("threshold", _each(thresholds)), truth, rows.filter(up), ["threshold"])
-    counts = rows.groupBy("threshold").agg(
-        F.count(F.lit(1)).alias("num_candidate_pairs"), F.count_if(up).alias("num_predicted_matches"))
-    return measures.join(counts, "threshold", "left").select(
-        "threshold", F.col("macro_precision").alias("precision"), F.col("macro_recall").alias("recall"), "macro_f05",
-        *(F.coalesce(c, F.lit(0)).alias(c) for c in ("num_candidate_pairs", "num_predicted_matches")),
+    """Macro measures, pairs and matches per threshold: pairs are labelled once
+    and counted per id for all thresholds in one aggregation."""
+    pairs = scored.groupBy(*PAIR).agg(F.max(score).alias("score"))
+    true = truth.select(*PAIR).distinct().withColumn("t", F.lit(1))
+    n_true = true.groupBy("source1_entity_id").agg(F.count(F.lit(1)).alias("n_true"))
+    up = [F.col("score") >= float(v) for v in thresholds]
+    per_id = pairs.join(true, PAIR, "left").groupBy("source1_entity_id").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        *(F.count_if(u).alias(f"p{k}") for k, u in enumerate(up)),
+        *(F.count_if(u & F.col("t").isNotNull()).alias(f"h{k}") for k, u in enumerate(up)))
+    counts = [F.struct(F.lit(float(v)).alias("threshold"), F.col(f"p{k}").alias("p"), F.col(f"h{k}").alias("h")) for k, v in enumerate(thresholds)]
+    each = F.explode(F.array(*counts) if counts else F.array().cast("array<struct<threshold:double,p:bigint,h:bigint>>"))
+    listed = ids.select("source1_entity_id").withColumn("listed", F.lit(1))
+    rows = (
+        listed.join(n_true, "source1_entity_id", "left")
+        .join(per_id, "source1_entity_id", "full")
+        .fillna(0)
+        .select("listed", "n_true", "n_pairs", each.alias("c"))
+        .select("listed", "n_true", "n_pairs", "c.*")
     )
+    t, p, hit, own = F.col("n_true"), F.col("p"), F.col("h"), F.col("listed") == 1
+    none, one = (t == 0) & (p == 0), (t == 0) | (p == 0)
+    precision = F.when(none, 1.0).when(one, 0.0).otherwise(_share(hit, p))
+    recall = F.when(none, 1.0).when(one, 0.0).otherwise(_share(hit, t))
+    mean = lambda c, n: F.coalesce(F.avg(F.when(own, c)), F.lit(0.0)).alias(n)
+    return rows.groupBy("threshold").agg(
+        mean(precision, "precision"), mean(recall, "recall"), mean(_f05(precision, recall), "macro_f05"),
+        F.sum("n_pairs").alias("num_candidate_pairs"), F.sum("p").alias("num_predicted_matches"))
 
 
 def best_threshold(swept: DataFrame) -> float:

@@ -50,16 +50,20 @@ def match_exact(s1: DataFrame, s23: DataFrame) -> DataFrame:
     return by_name.unionByName(_hits(unmatched, right, "address"))
 
 
-def match_exact_unambiguous(s1: DataFrame, s23: DataFrame, faithful: bool = True) -> DataFrame:
+def match_exact_unambiguous(
+    s1: DataFrame, s23: DataFrame | None, faithful: bool = True, index: DataFrame | None = None
+) -> DataFrame:
     """Per S1 record the candidates (name or address hits) and the match: the
     one hit by both, else the only name hit, else the only address hit, else none.
 
     ``faithful`` probes the exact matcher's forms of S2 and S3 with forms by the
     general rules, as the reference engine does; otherwise both sides are
-    normalised by the general rules.
+    normalised by the general rules.  ``index`` is a stored table of the right
+    side's forms (:func:`linkloom.sources.tables.read_exact_index`).
     """
     general = lambda r: blocking.normalised(r).select("entity_id", "country", "name", "address")
-    left, right = general(s1), exact_forms(s23) if faithful else general(s23)
+    left = general(s1)
+    right = index if index is not None else exact_forms(s23) if faithful else general(s23)
     by_name = _hits(left, right, "name").withColumn("by", F.lit("name"))
     by_address = _hits(left, right, "address").withColumn("by", F.lit("address"))
     hits = (
@@ -103,39 +107,54 @@ def with_records(pairs: DataFrame, s1: DataFrame, s23: DataFrame, how: str = "in
     return joined
 
 
-def scored(pairs: DataFrame, s1: DataFrame, s23: DataFrame, threshold: float | None = None) -> DataFrame:
-    """Pairs with name, address and final score.
+def _forms(s1: DataFrame, s23: DataFrame, forms: tuple[DataFrame, DataFrame] | None) -> tuple[DataFrame, DataFrame]:
+    left, right = forms or (blocking.normalised(first_records(s1)), blocking.normalised(first_records(s23)))
+    return tuple(f.select("entity_id", "name", "address", "country") for f in (left, right))
 
-    The matching ratio is the only Python here.  With a threshold, pairs whose
-    upper bound (from lengths and shared words) stays below it never reach it.
+
+def scored(
+    pairs: DataFrame, s1: DataFrame, s23: DataFrame, threshold: float | None = None,
+    forms: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
+    """Pairs with name, address and final score; ``forms`` are normal forms with
+    one record per id.
+
+    The matching ratio is the only Python here.  With a threshold, a pair goes on
+    only while it can reach it: a bound from shared words, lengths and letters
+    first, then the name's ratio, and the address's ratio for what is left.
     """
-    norm = lambda r: blocking.normalised(first_records(r)).select("entity_id", "name", "address")
-    rows = with_records(pairs, norm(s1), norm(s23))
+    left, right = _forms(s1, s23, forms)
+    rows = with_records(pairs, left.drop("country"), right.drop("country"))
     n, a = (F.col("l_name"), F.col("r_name")), (F.col("l_address"), F.col("r_address"))
     rows = rows.withColumn("name_words", S.word_jaccard(*n)).withColumn("address_words", S.word_jaccard(*a))
+    address_most = F.greatest(S.ratio_bound(*a), "address_words")
+    reaches = lambda name: S.weighted(name, address_most) >= (threshold or 0.0) - 1e-9
     if threshold is not None:
-        bound = S.weighted(
-            F.greatest(S.ratio_bound(*n), "name_words"), F.greatest(S.ratio_bound(*a), "address_words"))
-        rows = rows.filter(bound >= threshold - 1e-9)
-    return (
-        rows.withColumn("name_score", F.greatest(S.matching_ratio(*n), F.col("name_words")))
-        .withColumn("address_score", F.greatest(S.matching_ratio(*a), F.col("address_words")))
-        .select(
-            "source1_entity_id", "candidate_entity_id", "name_score", "address_score",
-            S.weighted(F.col("name_score"), F.col("address_score")).alias("final_score"),
-        )
+        rows = rows.filter(reaches(F.greatest(S.ratio_bound(*n), "name_words"))).filter(
+            reaches(F.greatest(S.letter_bound(*n), "name_words")))
+    rows = rows.withColumn("name_score", F.greatest(S.matching_ratio(*n), F.col("name_words")))
+    if threshold is not None:
+        rows = rows.filter(reaches(F.col("name_score")))
+    return rows.withColumn("address_score", F.greatest(S.matching_ratio(*a), F.col("address_words"))).select(
+        "source1_entity_id", "candidate_entity_id", "name_score", "address_score",
+        S.weighted(F.col("name_score"), F.col("address_score")).alias("final_score"),
     )
 
 
-def match_candidates(s1: DataFrame, s23: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def match_candidates(
+    s1: DataFrame, s23: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD,
+    forms: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """The scored pairs that reach the threshold."""
-    return scored(pairs, s1, s23, threshold).filter(F.col("final_score") >= threshold)
+    return scored(pairs, s1, s23, threshold, forms).filter(F.col("final_score") >= threshold)
 
 
-def pair_features(pairs: DataFrame, s1: DataFrame, s23: DataFrame, with_ratio: bool = True) -> DataFrame:
+def pair_features(
+    pairs: DataFrame, s1: DataFrame, s23: DataFrame, with_ratio: bool = True,
+    forms: tuple[DataFrame, DataFrame] | None = None,
+) -> DataFrame:
     """Pairs with the model's features as floats; unknown ids have empty records."""
-    norm = lambda r: blocking.normalised(first_records(r)).select("entity_id", "name", "address", "country")
-    rows = with_records(pairs, norm(s1), norm(s23), "left")
+    rows = with_records(pairs, *_forms(s1, s23, forms), "left")
     c = F.col
     found = S.pair_features(c("l_name"), c("r_name"), c("l_address"), c("r_address"), c("l_country"), c("r_country"), with_ratio)
     return rows.select(*pairs.columns, *(v.cast("float").alias(k) for k, v in found.items()))

@@ -42,6 +42,10 @@ def repeats(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("distinct_values"), (F.sum("n") - F.count(F.lit(1))).alias("repeated_values"))
 
 
+#: Rows of a chunk in which the profile counts repeated rows.
+CHUNK = 100_000
+
+
 def duplicate_rows(records: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Rows equal to an earlier one; ``chunk`` counts within chunks only."""
     by = [F.col(c) for c in records.columns]
@@ -51,6 +55,13 @@ def duplicate_rows(records: DataFrame, chunk: Column | None = None) -> DataFrame
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
+def chunk_of_rows(rows: int = CHUNK) -> Column:
+    """A chunk of ``rows`` rows of a partition, in the order they are read: what
+    reading a file in chunks is to a scan in parts."""
+    number = F.monotonically_increasing_id()
+    return F.struct(F.shiftright(number, 33), F.floor(number.bitwiseAND(F.lit((1 << 33) - 1)) / rows))
+
+
 def country_counts(records: DataFrame) -> DataFrame:
     return _counts_of(records, "country").withColumnRenamed("value", "country").orderBy(F.desc("n"), "country")
 
@@ -67,15 +78,16 @@ def top_values(records: DataFrame, column: str, k: int = 20) -> DataFrame:
 # -- truth -----------------------------------------------------------------
 
 
-def truth_ids(truth: DataFrame) -> DataFrame:
-    """``source1_entity_id`` and its trimmed ids as an array, from comma lists."""
-    ids = F.filter(
-        F.transform(F.split(text.text_of(F.col("matched_entity_ids")), ","), text.trim_space), lambda i: i != "")
+def truth_ids(truth: DataFrame, trim_each: bool = True) -> DataFrame:
+    """``source1_entity_id`` and its ids as an array, from comma lists; ids are
+    trimmed each, or only the list is."""
+    whole = F.split(text.trim_space(text.text_of(F.col("matched_entity_ids"))), ",")
+    ids = F.filter(F.transform(whole, text.trim_space) if trim_each else whole, lambda i: i != "")
     return truth.select("source1_entity_id", ids.alias("ids"))
 
 
-def truth_pairs(truth: DataFrame) -> DataFrame:
-    return truth_ids(truth).select("source1_entity_id", F.explode("ids").alias("candidate_entity_id")).distinct()
+def truth_pairs(truth: DataFrame, trim_each: bool = True) -> DataFrame:
+    return truth_ids(truth, trim_each).select("source1_entity_id", F.explode("ids").alias("candidate_entity_id")).distinct()
 
 
 def _sizes(truth: DataFrame) -> DataFrame:

@@ -51,12 +51,6 @@ def prefix(x: str) -> str:
     return f"CASE WHEN length({joined}) >= 4 THEN substr({joined}, 1, 4) ELSE '' END"
 
 
-def address_words(x: str) -> str:
-    """Distinct, in order of first sight."""
-    found = f"list_filter({words(x)}, lambda w: length(w) >= 3)"
-    return f"list_filter({found}, lambda w, i: list_position({found}, w) = i)"
-
-
 def study(x: str) -> str:
     return f"trim(regexp_replace(lower(coalesce({x}, '')), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -100,7 +94,7 @@ def overlap(a: str, b: str) -> str:
 
 
 def edit(a: str, b: str) -> str:
-    return (f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 ELSE "
+    return (f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN {a} = {b} THEN 1.0 ELSE "
             f"1.0 - levenshtein({a}, {b})::DOUBLE / greatest(length({a}), length({b})) END")
 
 
@@ -111,22 +105,24 @@ def common_prefix(a: str, b: str) -> str:
 
 # -- common table expressions ----------------------------------------------
 
-RECORDS = f"""
-rec AS (
-    SELECT 1 + doc_id % 3 AS source, 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id,
-           array_to_string(string_split(coalesce(text, ''), ' ')[1:4], ' ') AS business_name,
-           array_to_string(string_split(coalesce(text, ''), ' ')[5:12], ' ') AS business_address,
-           lang AS country, text
-    FROM documents
-), base AS (
+def _records(source: str, truth: str) -> str:
+    """The tables that queries share, from ``source``: source, entity_id,
+    business_name, business_address, country; ``truth`` joins ``a`` and ``b``."""
+    return f"""
+rec AS ({source}), base AS (
     SELECT *, {normalise('business_name')} AS name, {normalise('business_address')} AS plain_address,
            {country('country')} AS ckey FROM rec
 ), norm AS MATERIALIZED (
     SELECT source, entity_id, ckey AS country, name, {legal('name')} AS legal,
            {mapped('plain_address', ADDRESS_WORDS)} AS address FROM base
-), words AS MATERIALIZED (
+), spread AS (
+    SELECT entity_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM (SELECT entity_id, {words('address')} AS w FROM norm)
+), distinct_words AS MATERIALIZED (
+    SELECT entity_id, word, min(place) AS place FROM spread WHERE length(word) >= 3 GROUP BY ALL
+), lists AS (SELECT entity_id, list(word ORDER BY place) AS awords FROM distinct_words GROUP BY 1),
+words AS MATERIALIZED (
     SELECT source, entity_id, country, name, legal, address, {first_word('legal')} AS word,
-           {prefix('name')} AS prefix, {address_words('address')} AS awords FROM norm
+           {prefix('name')} AS prefix, coalesce(awords, []) AS awords FROM norm LEFT JOIN lists USING (entity_id)
 ), keys AS MATERIALIZED (
     SELECT source, entity_id, country, 'name_word' AS kind, word AS key, 0 AS pos FROM words
     UNION ALL SELECT source, entity_id, country, 'exact_name', name, 0 FROM words
@@ -134,15 +130,53 @@ rec AS (
     UNION ALL SELECT source, entity_id, country, 'legal_name', legal, 0 FROM words
     UNION ALL SELECT source, entity_id, country, 'name_word_legal', word, 0 FROM words
     UNION ALL SELECT source, entity_id, country, 'name_prefix', prefix, 0 FROM words
-    UNION ALL SELECT source, entity_id, country, 'address_word', awords[i], i - 1
-              FROM (SELECT *, unnest(range(1, length(awords) + 1)) AS i FROM words)
+    UNION ALL SELECT source, entity_id, country, 'address_word', d.word, place FROM norm JOIN distinct_words d USING (entity_id)
 ), truth AS MATERIALIZED (
     SELECT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id
-    FROM (SELECT entity_id, {normalise('text')} AS n FROM rec WHERE source = 1) a
-    JOIN (SELECT entity_id, {normalise('text')} AS n FROM rec WHERE source > 1) b ON a.n = b.n
+    FROM ({truth} AND source = 1) a JOIN ({truth} AND source > 1) b ON a.n = b.n
 ), ids AS (SELECT entity_id AS source1_entity_id FROM rec WHERE source = 1)"""
 
 
+_PARTS = "string_split_regex(coalesce(text, ''), '[ \\t\\n\\r]+')"
+RECORDS = _records(f"""
+    SELECT 1 + doc_id % 3 AS source, 'S' || (1 + doc_id % 3) || '-' || doc_id AS entity_id,
+           array_to_string({_PARTS}[1:4], ' ') AS business_name, array_to_string({_PARTS}[5:], ' ') AS business_address,
+           lang AS country, text
+    FROM documents""", f"SELECT entity_id, {normalise('text')} AS n FROM rec WHERE true")
+PART_RECORDS = _records("""
+    SELECT 1 + p_partkey % 3 AS source, 'S' || (1 + p_partkey % 3) || '-' || p_partkey AS entity_id,
+           p_name AS business_name, p_size || ' ' || p_type || ' St.' AS business_address, p_brand AS country
+    FROM part""", "SELECT entity_id, name || '|' || address || '|' || country AS n FROM norm WHERE true")
+
+
+def ratios(pairs: str, a: str, b: str, name: str) -> str:
+    """``name``: ``x, y, ratio`` of the distinct pairs of strings ``a, b`` of
+    relation ``pairs``, neither empty nor of 200 characters or more, by the
+    longest matching block first.  For ``WITH RECURSIVE``."""
+    return f"""
+{name}_s AS MATERIALIZED (SELECT DISTINCT {a} AS x, {b} AS y FROM {pairs} WHERE {a} <> '' AND {b} <> ''),
+{name}_c AS (
+    SELECT x, y, i, j FROM (
+        SELECT x, y, string_split(x, '') AS xs, string_split(y, '') AS ys, unnest(range(length(x))) AS i FROM {name}_s
+    ), LATERAL (SELECT unnest(range(length(y))) AS j) WHERE xs[i + 1] = ys[j + 1]
+), {name}_p AS MATERIALIZED (
+    SELECT x, y, i, j, max(i) OVER (PARTITION BY x, y, j - i, island) - i + 1 AS run
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY x, y, j - i ORDER BY i) AS island FROM {name}_c)
+), {name}_r AS (
+    SELECT x, y, 0::BIGINT AS alo, length(x)::BIGINT AS ahi, 0::BIGINT AS blo, length(y)::BIGINT AS bhi, 0::BIGINT AS hit FROM {name}_s
+    UNION ALL
+    SELECT x, y, CASE side WHEN 0 THEN alo ELSE m.i + m.k END, CASE side WHEN 0 THEN m.i ELSE ahi END,
+           CASE side WHEN 0 THEN blo ELSE m.j + m.k END, CASE side WHEN 0 THEN m.j ELSE bhi END, CASE side WHEN 0 THEN m.k ELSE 0 END
+    FROM (
+        SELECT r.x, r.y, alo, ahi, blo, bhi,
+               arg_max({{'i': p.i, 'j': p.j, 'k': least(run, ahi - p.i, bhi - p.j)}},
+                       least(run, ahi - p.i, bhi - p.j) * 1000000 - p.i * 1000 - p.j) AS m
+        FROM {name}_r r JOIN {name}_p p ON r.x = p.x AND r.y = p.y AND p.i >= alo AND p.i < ahi AND p.j >= blo AND p.j < bhi
+        GROUP BY ALL
+    ), (SELECT unnest([0, 1]) AS side)
+), {name} AS MATERIALIZED (SELECT x, y, 2.0::DOUBLE * sum(hit) / (length(x) + length(y)) AS ratio FROM {name}_r GROUP BY x, y)"""
+
+
 def blocks(cap: int, per_entity: int) -> str:
     """``cand``: distinct candidate pairs of all four blocks."""
     return f"""

@@ -6,6 +6,8 @@ queries run over all of them.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from linkloom.functions import text
 from linkloom.operators import blocking, evaluation, learning, matching, profiling, validation
 from linkloom.plans import oracle as O
 from linkloom.plans import records as R
+from linkloom.sources import tables
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -88,10 +91,10 @@ _LISTS = """SELECT source1_entity_id, coalesce(string_agg(candidate_entity_id, '
     AS candidate_entity_ids FROM ids LEFT JOIN cand USING (source1_entity_id) GROUP BY 1"""
 
 
-@query(_with(O.blocks(50, 3), then=_LISTS))
+@query(_with(O.blocks(5000, 2), then=_LISTS))
 def candidate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
-    return blocking.listed(s1, blocking.candidates(s1, s23, 50, 3))
+    return blocking.listed(s1, blocking.candidates(s1, s23))
 
 
 _ALL_WORDS = """SELECT DISTINCT a.entity_id AS source1_entity_id, b.entity_id AS candidate_entity_id
@@ -122,11 +125,11 @@ def address_word_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.frequencies(blocking.keys(blocking.normalised(s23), ["address_word"]))
 
 
-@query(_with(O.blocks(100, 2), then="SELECT entity_id, key, freq, rank FROM rare WHERE rank <= 2"))
+@query(_with(O.blocks(5000, 2), then="SELECT entity_id, key, freq, rank FROM rare WHERE rank <= 2"))
 def rare_address_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
     own, other = (blocking.keys(blocking.normalised(r), ["address_word"]) for r in (s1, s23))
-    found = blocking.rare_words(own, blocking.frequencies(other), 100, 2)
+    found = blocking.rare_words(own, blocking.frequencies(other), blocking.MAX_BUCKET, blocking.ADDRESS_KEYS)
     return found.select("entity_id", "key", "freq", F.col("rank").cast("long").alias("rank"))
 
 
@@ -187,12 +190,14 @@ def study_and_profile_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- pair features ---------------------------------------------------------
 
-_PAIRED = f"""
-pairs AS ({O.block_pairs('exact_name')} UNION {O.block_pairs('exact_address')}), sided AS MATERIALIZED (
+_SIDED = """
+sided AS MATERIALIZED (
     SELECT p.*, a.name AS n1, b.name AS n2, a.address AS a1, b.address AS a2, a.country AS c1, b.country AS c2
-    FROM pairs p JOIN norm a ON p.source1_entity_id = a.entity_id JOIN norm b ON p.candidate_entity_id = b.entity_id
-), featured AS MATERIALIZED (
-    SELECT source1_entity_id, candidate_entity_id,
+    FROM cand p JOIN norm a ON p.source1_entity_id = a.entity_id JOIN norm b ON p.candidate_entity_id = b.entity_id
+)"""
+_FEATURED = f"""
+featured AS MATERIALIZED (
+    SELECT source1_entity_id, candidate_entity_id, n1, n2, a1, a2,
         ({O.jaccard('n1', 'n2')})::FLOAT AS name_token_jaccard, ({O.dice('n1', 'n2')})::FLOAT AS name_token_overlap,
         (n1 <> '' AND n1 = n2)::INT::FLOAT AS name_exact_match, ({O.common_prefix('n1', 'n2')})::FLOAT AS name_prefix_sim,
         ({O.jaccard('a1', 'a2')})::FLOAT AS addr_token_jaccard, ({O.dice('a1', 'a2')})::FLOAT AS addr_token_overlap,
@@ -202,27 +207,54 @@ pairs AS ({O.block_pairs('exact_name')} UNION {O.block_pairs('exact_address')}),
         ({O.shared('n1', 'n2')} + {O.shared('a1', 'a2')})::FLOAT AS total_shared_tokens
     FROM sided
 )"""
+_PAIRED = ", ".join(x.strip() for x in (O.blocks(5000, 2), _SIDED, _FEATURED))
 
 
-def _exact_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s1, s23 = R.sides(spark, sf_dir)
-    return blocking.candidates(s1, s23, kinds=["exact_name", "exact_address"]), s1, s23
+def _candidates(spark: SparkSession, sf_dir: str, of=R.records):
+    """Candidate pairs, both sides, and their stored normal forms."""
+    s1, s23 = R.sides(spark, sf_dir, of)
+    forms = blocking.normal_forms(s1, s23)
+    return blocking.candidates(s1, s23, forms=forms), s1, s23, forms
 
 
-@query(_with(_PAIRED, then="""SELECT source1_entity_id, candidate_entity_id,
-    round(COLUMNS(* EXCLUDE (source1_entity_id, candidate_entity_id))::DOUBLE, 5) FROM featured"""))
-def pair_word_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matching.pair_features(*_exact_pairs(spark, sf_dir), with_ratio=False)
+def _features(spark: SparkSession, sf_dir: str, with_ratio: bool = True, of=R.records) -> DataFrame:
+    pairs, s1, s23, forms = _candidates(spark, sf_dir, of)
+    return matching.pair_features(pairs, s1, s23, with_ratio, forms)
+
+
+def _five_places(found: DataFrame) -> DataFrame:
     return found.select(*evaluation.PAIR, *(
         F.round(F.col(c).cast("double"), 5).alias(c) for c in found.columns if c not in evaluation.PAIR))
 
 
+_FIVE = "round(COLUMNS(* EXCLUDE (source1_entity_id, candidate_entity_id, n1, n2, a1, a2))::DOUBLE, 5)"
+
+
+@query(_with(_PAIRED, then=f"SELECT source1_entity_id, candidate_entity_id, {_FIVE} FROM featured"))
+def pair_word_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _five_places(_features(spark, sf_dir, with_ratio=False))
+
+
+def _recursive(*parts: str, then: str) -> str:
+    return f"WITH RECURSIVE {', '.join(p.strip() for p in parts)} {then}"
+
+
+@query(_recursive(O.RECORDS, O.blocks(5000, 2), _SIDED, O.ratios("sided", "n1", "n2", "rn"), then="""
+SELECT source1_entity_id, candidate_entity_id, round(coalesce(ratio, 0), 6) AS name_ratio
+FROM sided LEFT JOIN rn ON n1 = x AND n2 = y"""))
+def name_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matching ratio of the names of all candidate pairs."""
+    pairs, _, _, forms = _candidates(spark, sf_dir)
+    rows = matching.with_records(pairs, *(f.select("entity_id", "name") for f in forms))
+    return rows.select(*evaluation.PAIR, F.round(S.matching_ratio("l_name", "r_name"), 6).alias("name_ratio"))
+
+
 _STUDIED = f"""
-pairs AS ({O.block_pairs('exact_name')} UNION {O.block_pairs('exact_address')}), forms AS (
+forms AS (
     SELECT entity_id, {O.study('business_name')} AS n, {O.study('business_address')} AS a, {O.study('country')} AS c FROM rec
-), sided AS MATERIALIZED (
+), faced AS MATERIALIZED (
     SELECT p.*, x.n AS n1, y.n AS n2, x.a AS a1, y.a AS a2, x.c AS c1, y.c AS c2
-    FROM pairs p JOIN forms x ON p.source1_entity_id = x.entity_id JOIN forms y ON p.candidate_entity_id = y.entity_id
+    FROM studied_pairs p JOIN forms x ON p.source1_entity_id = x.entity_id JOIN forms y ON p.candidate_entity_id = y.entity_id
 ), studied AS MATERIALIZED (
     SELECT source1_entity_id, candidate_entity_id,
         (n1 <> '' AND n1 = n2)::INT AS name_exact, {O.jaccard('n1', 'n2')} AS name_jaccard,
@@ -230,41 +262,101 @@ pairs AS ({O.block_pairs('exact_name')} UNION {O.block_pairs('exact_address')}),
         (a1 <> '' AND a1 = a2)::INT AS address_exact, {O.jaccard('a1', 'a2')} AS address_jaccard,
         {O.edit('a1', 'a2')} AS address_edit_similarity, {O.overlap('a1', 'a2')} AS address_token_overlap,
         (c1 <> '' AND c1 = c2)::INT AS country_match, (n1 = '' OR n2 = '')::INT AS name_missing,
-        (a1 = '' OR a2 = '')::INT AS address_missing, (c1 = '' OR c2 = '')::INT AS country_missing,
-        (t.source1_entity_id IS NOT NULL)::INT AS label
-    FROM sided s LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id)
+        (a1 = '' OR a2 = '')::INT AS address_missing, (c1 = '' OR c2 = '')::INT AS country_missing, label
+    FROM faced
 )"""
+_FLOATS = ("name_jaccard", "name_edit_similarity", "name_token_overlap", "address_jaccard", "address_edit_similarity", "address_token_overlap")
 
 
-def _studied(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, s1, s23 = _exact_pairs(spark, sf_dir)
-    return matching.study_features(matching.labelled(pairs, R.truth(spark, sf_dir)), s1, s23)
+@query(_with(O.blocks(5000, 2), """studied_pairs AS (SELECT c.*, (t.source1_entity_id IS NOT NULL)::INT AS label
+    FROM cand c LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id))""", _STUDIED,
+             then=f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _FLOATS)}) FROM studied"))
+def study_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s1, s23 = R.sides(spark, sf_dir)
+    pairs = matching.labelled(blocking.candidates(s1, s23), R.truth(spark, sf_dir))
+    return matching.study_features(pairs, s1, s23).withColumns({c: F.round(c, 6) for c in _FLOATS})
+
+
+_STUDY = learning.STUDY_PAIRS
+_SAMPLED = f"""
+salted AS (SELECT entity_id, source, md5('{learning.SEED}:' || entity_id) AS salt FROM rec),
+own AS (SELECT entity_id AS source1_entity_id, row_number() OVER (ORDER BY salt, entity_id) AS place FROM salted WHERE source = 1),
+ring AS (SELECT entity_id AS candidate_entity_id, row_number() OVER (ORDER BY salt, entity_id) AS slot FROM salted WHERE source > 1),
+tries AS (SELECT least(greatest(coalesce(max(n), 0) + 1, 3), (SELECT count(*) FROM ring)) AS tries FROM (
+    SELECT count(*) AS n FROM (SELECT DISTINCT * FROM truth) SEMI JOIN (SELECT * FROM own WHERE place <= {_STUDY}) o USING (source1_entity_id)
+    GROUP BY source1_entity_id)),
+sizes AS (SELECT tries, least(greatest(3 * {_STUDY}, tries), (SELECT count(*) FROM ring)) AS size FROM tries),
+tried AS (SELECT source1_entity_id, place, unnest(range(tries)) AS step, size FROM own, sizes WHERE place <= {_STUDY}),
+negative AS (
+    SELECT source1_entity_id, candidate_entity_id FROM (
+        SELECT t.*, candidate_entity_id, row_number() OVER (PARTITION BY t.source1_entity_id ORDER BY step) AS rank
+        FROM tried t JOIN ring ON slot = (place * 3 + step) % size + 1
+        ANTI JOIN truth u ON u.source1_entity_id = t.source1_entity_id AND u.candidate_entity_id = ring.candidate_entity_id
+    ) WHERE rank = 1 ORDER BY place LIMIT {_STUDY}
+), positive AS (SELECT DISTINCT * FROM truth ORDER BY ALL LIMIT {_STUDY}),
+studied_pairs AS (SELECT *, 1 AS label FROM positive UNION ALL SELECT *, 0 FROM negative)"""
 
 
-_FLOATS = ("name_jaccard", "name_edit_similarity", "name_token_overlap", "address_jaccard", "address_edit_similarity", "address_token_overlap")
+def _studied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s1, s23 = R.sides(spark, sf_dir)
+    return matching.study_features(learning.study_sample(s1, s23, R.truth(spark, sf_dir)), s1, s23)
 
 
-@query(_with(_STUDIED, then=f"SELECT * REPLACE ({', '.join(f'round({c}, 6) AS {c}' for c in _FLOATS)}) FROM studied"))
-def study_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _studied(spark, sf_dir).withColumns({c: F.round(c, 6) for c in _FLOATS})
+@query(_with(_SAMPLED, then="SELECT * FROM studied_pairs"))
+def study_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The study's pairs, as many positives as its cap allows and as many negatives."""
+    return learning.study_sample(*R.sides(spark, sf_dir), R.truth(spark, sf_dir))
 
 
-@query(_with(_STUDIED, then=" UNION ALL ".join(
+@query(_with(_SAMPLED, _STUDIED, then=" UNION ALL ".join(
     f"""SELECT '{c}' AS feature, round(avg({c}) FILTER (label = 0), 3) AS negative,
     round(avg({c}) FILTER (label = 1), 3) AS positive FROM studied""" for c in S.STUDY_FEATURES)))
 def feature_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.label_means(_studied(spark, sf_dir), S.STUDY_FEATURES)
 
 
-_CORR = ("name_jaccard", "name_edit_similarity", "address_jaccard", "address_edit_similarity", "address_token_overlap", "country_missing")
-
-
-@query(_with(_STUDIED, then=" UNION ALL ".join(
+@query(_with(_SAMPLED, _STUDIED, then=" UNION ALL ".join(
     f"""SELECT '{a}' AS a, '{b}' AS b, round(CASE WHEN stddev_pop({a}) * stddev_pop({b}) = 0 THEN NULL
     ELSE covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) END, 2) AS corr FROM studied"""
-    for a in _CORR for b in _CORR)))
+    for a in S.STUDY_FEATURES for b in S.STUDY_FEATURES)))
 def feature_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.correlations(_studied(spark, sf_dir), _CORR)
+    return profiling.correlations(_studied(spark, sf_dir), S.STUDY_FEATURES)
+
+
+# -- the same on parts, whose short fields SQL can compare letter by letter --
+
+_PARTED = (O.PART_RECORDS, O.blocks(5000, 2), _SIDED, O.ratios("sided", "n1", "n2", "rn"), O.ratios("sided", "a1", "a2", "ra"))
+_PART_SCORED = f"""
+scored AS (SELECT source1_entity_id, candidate_entity_id, name_score, address_score, 0.6::DOUBLE * name_score + 0.4::DOUBLE * address_score AS final_score
+FROM (
+    SELECT sided.*, greatest(coalesce(rn.ratio, 0), {O.jaccard('n1', 'n2')}) AS name_score,
+           greatest(coalesce(ra.ratio, 0), {O.jaccard('a1', 'a2')}) AS address_score
+    FROM sided LEFT JOIN rn ON n1 = rn.x AND n2 = rn.y LEFT JOIN ra ON a1 = ra.x AND a2 = ra.y
+))"""
+_SCORES = ("name_score", "address_score", "final_score")
+_SIX = ", ".join(f"round({c}, 6) AS {c}" for c in _SCORES)
+
+
+@query(_recursive(*_PARTED, _PART_SCORED, then=f"SELECT source1_entity_id, candidate_entity_id, {_SIX} FROM scored"))
+def part_scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, s1, s23, forms = _candidates(spark, sf_dir, R.part_records)
+    return matching.scored(pairs, s1, s23, forms=forms).withColumns({c: F.round(c, 6) for c in _SCORES})
+
+
+@query(_recursive(*_PARTED, _PART_SCORED, then=f"""SELECT source1_entity_id, candidate_entity_id, {_SIX} FROM scored
+    WHERE final_score >= {matching.THRESHOLD}"""))
+def part_match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, s1, s23, forms = _candidates(spark, sf_dir, R.part_records)
+    return matching.match_candidates(s1, s23, pairs, forms=forms).withColumns({c: F.round(c, 6) for c in _SCORES})
+
+
+@query(_recursive(*_PARTED, _FEATURED, then=f"""SELECT source1_entity_id, candidate_entity_id,
+    round(coalesce(rn.ratio, 0)::FLOAT::DOUBLE, 5) AS name_char_sim, round(coalesce(rn.ratio, 0)::FLOAT::DOUBLE, 5) AS name_seq_ratio,
+    round(coalesce(ra.ratio, 0)::FLOAT::DOUBLE, 5) AS addr_char_sim, {", ".join(
+        f"round({c}::DOUBLE, 5) AS {c}" for c in S.FEATURES if c not in ("name_char_sim", "name_seq_ratio", "addr_char_sim"))}
+    FROM featured LEFT JOIN rn ON n1 = rn.x AND n2 = rn.y LEFT JOIN ra ON a1 = ra.x AND a2 = ra.y"""))
+def part_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _five_places(_features(spark, sf_dir, of=R.part_records))
 
 
 # -- decisions -------------------------------------------------------------
@@ -310,18 +402,19 @@ def match_unambiguous_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.scored(*_exact_pairs(spark, sf_dir))
+    pairs, s1, s23, forms = _candidates(spark, sf_dir)
+    return matching.scored(pairs, s1, s23, forms=forms)
 
 
 @query()
 def match_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s1, s23 = R.sides(spark, sf_dir)
-    return matching.match_candidates(s1, s23, blocking.candidates(s1, s23))
+    pairs, s1, s23, forms = _candidates(spark, sf_dir)
+    return matching.match_candidates(s1, s23, pairs, forms=forms)
 
 
 @query()
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.pair_features(*_exact_pairs(spark, sf_dir))
+    return _features(spark, sf_dir)
 
 
 @query(_with(O.blocks(5000, 2), then="""SELECT c.*, (t.source1_entity_id IS NOT NULL)::INT AS label
@@ -347,7 +440,7 @@ def macro_f05(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = matching.pair_features(*_exact_pairs(spark, sf_dir), with_ratio=False)
+    found = _features(spark, sf_dir, with_ratio=False)
     score = S.weighted(F.col("name_token_jaccard").cast("double"), F.col("addr_token_jaccard").cast("double"))
     return found.select(*evaluation.PAIR, F.round(score, 6).alias("score"))
 
@@ -373,6 +466,15 @@ def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluation.sweep(_ids(s1), R.truth(spark, sf_dir), _word_scores(spark, sf_dir), "score"))
 
 
+@query(_with(_PAIRED, _SCORED, _grid(evaluation.GRID),
+             "kept AS (SELECT threshold, source1_entity_id, candidate_entity_id FROM scores, grid WHERE score >= threshold)",
+             O.macro("kept", "threshold"), then="SELECT threshold FROM measured ORDER BY round(macro_f05, 6) DESC, threshold LIMIT 1"))
+def best_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lowest threshold of the highest macro F0.5."""
+    found = evaluation.best_threshold(threshold_sweep(spark, sf_dir))
+    return spark.createDataFrame([(found,)], "threshold double")
+
+
 @query(_with(_PAIRED, _SCORED, _grid(evaluation.SWEEP), """
 lab AS (SELECT score, (t.source1_entity_id IS NOT NULL) AS y FROM scores LEFT JOIN truth t USING (source1_entity_id, candidate_entity_id)),
 lost AS (SELECT count(*) AS blocked_out FROM truth t ANTI JOIN scores s USING (source1_entity_id, candidate_entity_id)),
@@ -455,6 +557,13 @@ def duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.duplicate_rows(R.documents(spark, sf_dir).select("text", "lang", "n_chars"))
 
 
+@query("SELECT coalesce(sum(n - 1), 0)::BIGINT AS duplicate_rows FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, n_chars, doc_id // 100)")
+def duplicate_rows_by_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats within chunks of a hundred ids only."""
+    rows = R.documents(spark, sf_dir).withColumn("chunk", F.expr("doc_id div 100"))
+    return profiling.duplicate_rows(rows.select("text", "lang", "n_chars", "chunk"))
+
+
 @query(_with(_VALUES, then="SELECT value AS country, count(*) AS n FROM vals WHERE column_name = 'country' AND value <> '' GROUP BY 1"))
 def country_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.country_counts(_all(spark, sf_dir))
@@ -466,6 +575,12 @@ def top_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.top_values(_all(spark, sf_dir), "business_name")
 
 
+@query(_with(_VALUES, then="""SELECT value, count(*) AS n FROM vals WHERE column_name = 'business_address' AND value <> ''
+    GROUP BY 1 ORDER BY n DESC, value LIMIT 20"""))
+def top_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profiling.top_values(_all(spark, sf_dir), "business_address")
+
+
 _SIZES = """
 tl AS (SELECT source1_entity_id, count(candidate_entity_id) AS total,
     count(*) FILTER (candidate_entity_id LIKE 'S2-%') AS s2, count(*) FILTER (candidate_entity_id LIKE 'S3-%') AS s3
@@ -508,26 +623,199 @@ def positive_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learning.positive_pairs(profiling.truth_pairs(R.truth_lists(spark, sf_dir)))
 
 
-@query()
+@query(_with(then=f"SELECT DISTINCT * FROM truth ORDER BY ALL LIMIT {_STUDY}"))
+def first_positive_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The study's sample of true pairs."""
+    return learning.positive_pairs(profiling.truth_pairs(R.truth_lists(spark, sf_dir)), _STUDY)
+
+
+@query(_with(_SAMPLED, then="SELECT * FROM negative"))
 def negative_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The study's sample: as many negatives as its cap on positives."""
     s1, s23 = R.sides(spark, sf_dir)
-    return learning.negative_pairs(s1, s23, R.truth(spark, sf_dir), 1000)
+    return learning.negative_pairs(s1, s23, R.truth(spark, sf_dir), _STUDY)
 
 
 @query()
 def supervised_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the records and their truth, then decide all S1 records."""
+    """Train on files of the records and their truth, decide all S1 records of
+    the files to be tested, and read the matches back."""
+    training, test, out = _training(spark, sf_dir), _test(spark, sf_dir), tables.shared_path(spark, "results")
+    learning.link_files(spark, training, test, out)
+    return tables.read_tsv(spark, f"{out}/matching_results.tsv", tables.TRUTH)
+
+
+# -- files -----------------------------------------------------------------
+
+
+def _written(spark: SparkSession, sf_dir: str, name: str) -> str:
+    folder, rows = tables.shared_path(spark, name), R.records(spark, sf_dir)
+    for k in (1, 2, 3):
+        tables.write_tsv(rows.filter(F.col("source") == k).drop("source"), f"{folder}/{name}_source{k}.tsv")
+    return folder
+
+
+def _training(spark: SparkSession, sf_dir: str) -> str:
+    folder = _written(spark, sf_dir, "train")
+    tables.write_tsv(R.truth_lists(spark, sf_dir), f"{folder}/train_ground_truth.tsv")
+    return folder
+
+
+def _test(spark: SparkSession, sf_dir: str) -> str:
+    return _written(spark, sf_dir, "test")
+
+
+def _numbered(files) -> DataFrame:
+    return blocking.unioned([f.withColumn("file", F.lit(k)) for k, f in enumerate(files, 1)])
+
+
+_FIELDS = "entity_id, business_name, business_address, coalesce(country, '') AS country"
+
+
+@query(_with(_SIZES, then=f"""SELECT {_FIELDS}, source::INT AS file FROM rec UNION ALL
+    SELECT source1_entity_id, '', string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id), '', 4
+    FROM ids LEFT JOIN (SELECT DISTINCT * FROM truth) USING (source1_entity_id) GROUP BY 1""".replace(
+        "string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id)",
+        "coalesce(string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id), '')")))
+def training_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sources and the truth, written to files and read back."""
+    s1, s2, s3, truth = tables.read_training(spark, _training(spark, sf_dir))
+    lists = truth.select(F.col("source1_entity_id").alias("entity_id"), F.lit("").alias("business_name"),
+                         F.col("matched_entity_ids").alias("business_address"), F.lit("").alias("country"))
+    return _numbered([s1, s2, s3, lists])
+
+
+@query(_with(then=f"SELECT {_FIELDS}, source::INT AS file FROM rec"))
+def test_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(tables.read_test(spark, _test(spark, sf_dir)))
+
+
+_MISSING = ", ".join(f"'{t}'" for t in text.MISSING_TEXTS)
+
+
+@query(_with(then="SELECT " + ", ".join(f"CASE WHEN {c} NOT IN ({_MISSING}) THEN {c} END AS {c}" for c in tables.RECORD) + " FROM rec"))
+def files_with_missing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts for missing values read as null."""
+    return blocking.unioned(tables.read_test(spark, _test(spark, sf_dir), na_mode="pandas"))
+
+
+@query(_with(then=f"SELECT {_FIELDS} FROM rec WHERE NOT contains(business_name, '!')"))
+def files_with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose name has an exclamation mark get a field too many; their
+    lines are skipped."""
+    folder, rows = tables.shared_path(spark, "lines"), _all(spark, sf_dir)
+    loud = F.contains("business_name", F.lit("!"))
+    tables.write_tsv(rows.filter(~loud), f"{folder}/good")
+    tables.write_tsv(rows.filter(loud).withColumn("more", F.lit("x")), f"{folder}/bad")
+    return tables.read_tsv(spark, [f"{folder}/good", f"{folder}/bad"], bad_lines="skip")
+
+
+@query(_with(then="""SELECT source1_entity_id, unnest(string_split(string_agg(candidate_entity_id, ', ' ORDER BY candidate_entity_id), ',')) AS
+    candidate_entity_id FROM (SELECT DISTINCT * FROM truth) GROUP BY 1"""))
+def truth_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth from a file whose lists have blanks: only whole lists are trimmed."""
+    path = f"{tables.shared_path(spark, 'truth')}/train_ground_truth.tsv"
+    spaced = F.concat(F.lit(" "), F.replace("matched_entity_ids", F.lit(","), F.lit(", ")), F.lit(" "))
+    tables.write_tsv(R.truth_lists(spark, sf_dir).withColumn("matched_entity_ids", spaced), path)
+    return profiling.truth_pairs(tables.read_truth(spark, path), trim_each=False)
+
+
+@query(_with(then=f"SELECT {_FIELDS} FROM rec WHERE source = 1 ORDER BY entity_id LIMIT 1000"))
+def first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample of the first thousand S1 records, by id."""
+    s1, _, _ = tables.read_test(spark, _test(spark, sf_dir))
+    return tables.first_rows(s1, 1000)
+
+
+@query(_with(then="""SELECT entity_id, business_name FROM (SELECT coalesce(country, '') AS entity_id, business_name,
+    row_number() OVER (PARTITION BY coalesce(country, '') ORDER BY entity_id) AS rank FROM rec) WHERE rank = 1"""))
+def first_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the records of each country, taken as an id that repeats, the first."""
+    rows = _all(spark, sf_dir).select(F.coalesce("country", F.lit("")).alias("entity_id"), "business_name", F.col("entity_id").alias("place"))
+    return tables.first_per_id(rows, ["place"]).select("entity_id", "business_name")
+
+
+@query(_with(O.blocks(5000, 2), then=_LISTS))
+def candidate_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate lists, written and read back."""
+    path = tables.shared_path(spark, "candidate_pairs")
+    tables.write_lists(candidate_lists(spark, sf_dir), path)
+    return tables.read_tsv(spark, path, ("source1_entity_id", "candidate_entity_ids"))
+
+
+@query(_unambiguous("efo"))
+def unambiguous_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches against a stored index of S2 and S3, written to two files and read back."""
+    s1, s23 = R.sides(spark, sf_dir)
+    folder = tables.shared_path(spark, "unambiguous")
+    tables.save_exact_index(matching.exact_forms(tables.first_per_id(s23, ["entity_id"])), f"{folder}/index")
+    found = matching.match_exact_unambiguous(s1, None, index=tables.read_exact_index(spark, f"{folder}/index"))
+    both = []
+    for c in ("candidate_entity_ids", "matched_entity_ids"):
+        tables.write_lists(found.select("source1_entity_id", c), f"{folder}/{c}")
+        both.append(tables.read_tsv(spark, f"{folder}/{c}", ("source1_entity_id", c)))
+    return both[0].join(both[1], "source1_entity_id")
+
+
+@query(_with(_EXACT, """exact_hits AS (SELECT * FROM by_name UNION ALL SELECT * FROM by_address
+    WHERE source1_entity_id NOT IN (SELECT source1_entity_id FROM by_name))""", then="""
+SELECT source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' ORDER BY candidate_entity_id), '') AS matched_entity_ids
+FROM ids LEFT JOIN exact_hits USING (source1_entity_id) GROUP BY 1"""))
+def exact_match_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact matches in lines that end as spreadsheets end them, read back."""
     s1, s23 = R.sides(spark, sf_dir)
-    matcher, _ = learning.fit_matcher(s1, s23, R.truth(spark, sf_dir))
-    return learning.predict(matcher, s1, s23)[1]
+    path = tables.shared_path(spark, "exact")
+    tables.write_lists(blocking.listed(s1, matching.match_exact(s1, s23), "matched_entity_ids"), path, "\r\n")
+    return tables.read_tsv(spark, path, tables.TRUTH)
+
+
+def _items(report: dict) -> dict[str, int]:
+    one, truth = report["sources"]["records"], report["truth"]
+    counts = {k: one[k] for k in ("rows", "duplicate_rows", "duplicate_entity_ids", "repeated_business_names", "repeated_addresses",
+                                  "unique_business_names", "unique_addresses")}
+    counts |= {f"missing {c}": n for c, n in one["missing_values"].items()}
+    counts |= {f"country {c}": n for c, n in one["country_distribution"].items()}
+    return counts | {f"truth {k}": truth[k] for k in ("rows", "with_both", "with_neither", "matched_ids", "matched_more_than_once")}
+
+
+@query(_with(_VALUES, _SIZES, "mc AS (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM truth) GROUP BY candidate_entity_id)", then="""
+SELECT 'rows' AS item, count(*) AS n FROM rec
+UNION ALL SELECT 'duplicate_rows', 0 UNION ALL SELECT 'duplicate_entity_ids', count(*) - count(DISTINCT entity_id) FROM rec
+""" + "".join(f"""UNION ALL SELECT 'repeated_{p}', count(*) - count(DISTINCT value) FROM vals WHERE column_name = '{c}' AND value <> ''
+UNION ALL SELECT 'unique_{p}', count(DISTINCT value) FROM vals WHERE column_name = '{c}' AND value <> ''
+""" for p, c in (("business_names", "business_name"), ("addresses", "business_address"))) + "".join(
+    f"UNION ALL SELECT 'missing {c}', count(*) FILTER (trim(coalesce({c}, '')) = '') FROM rec\n" for c in _COLUMNS) + """
+UNION ALL SELECT 'country ' || value, count(*) FROM vals WHERE column_name = 'country' AND value <> '' GROUP BY value
+UNION ALL SELECT 'truth rows', count(*) FROM tl UNION ALL SELECT 'truth with_both', count(*) FILTER (s2 > 0 AND s3 > 0) FROM tl
+UNION ALL SELECT 'truth with_neither', count(*) FILTER (s2 = 0 AND s3 = 0) FROM tl
+UNION ALL SELECT 'truth matched_ids', count(*) FROM mc UNION ALL SELECT 'truth matched_more_than_once', count(*) FILTER (n > 1) FROM mc"""))
+def profile_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile as a JSON file, read back."""
+    path = f"{tables.shared_path(spark, 'profile')}/report.json"
+    tables.write_report(profiling.report({"records": _all(spark, sf_dir)}, R.truth_lists(spark, sf_dir)), path, spark)
+    whole = spark.read.text(path, wholetext=True).first()[0]
+    return spark.createDataFrame(list(_items(json.loads(whole)).items()), "item string, n long")
 
 
 _BROKEN = ("s1_ids_unique", "s23_ids_unique", "every_s1_has_candidates_row", "every_s1_has_matches_row", "one_candidates_row",
            "one_matches_row", "candidates_from_s2_s3", "matches_unique", "matches_are_candidates")
 
 
-@query(" UNION ALL ".join(f"SELECT '{r}' AS rule, 0::BIGINT AS violations" for r in _BROKEN))
+_UNIQUE = "SELECT count(*) FROM (SELECT 1 FROM {} GROUP BY {} HAVING count(*) > 1)"
+_RULES = dict(zip(_BROKEN, (
+    _UNIQUE.format("(SELECT * FROM rec WHERE source = 1)", "entity_id"),
+    _UNIQUE.format("(SELECT * FROM rec WHERE source > 1)", "entity_id"),
+    *["SELECT count(*) FROM ids ANTI JOIN decided USING (source1_entity_id)"] * 2,
+    *[_UNIQUE.format("decided", "source1_entity_id")] * 2,
+    "SELECT count(*) FROM cids WHERE NOT regexp_matches(id, '^S[23]-')",
+    _UNIQUE.format("mids", "source1_entity_id, id"),
+    "SELECT count(*) FROM mids ANTI JOIN cids USING (source1_entity_id, id)"), strict=True))
+
+
+@query(_unambiguous("norm").replace("SELECT source1_entity_id, coalesce(string_agg(j", ", decided AS (SELECT source1_entity_id, coalesce(string_agg(j", 1)
+       + """), cids AS (SELECT source1_entity_id, unnest(string_split(candidate_entity_ids, ',')) AS id FROM decided WHERE candidate_entity_ids <> ''),
+mids AS (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS id FROM decided WHERE matched_entity_ids <> '')
+""" + " UNION ALL ".join(f"SELECT '{r}' AS rule, ({sql}) AS violations" for r, sql in _RULES.items()))
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
     lists = matching.match_exact_unambiguous(s1, s23, faithful=False)

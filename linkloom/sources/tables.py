@@ -28,19 +28,35 @@ def read_tsv(
     bad_lines: str = "error",
 ) -> DataFrame:
     """Strings only.  ``na_mode='pandas'`` makes the usual texts for missing
-    values null, ``'text'`` leaves them and makes nothing null.  ``bad_lines``:
-    ``error``, ``skip``, or ``warn`` (kept, with missing fields empty)."""
-    mode = {"error": "FAILFAST", "skip": "DROPMALFORMED", "warn": "PERMISSIVE"}[bad_lines]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    values null, ``'text'`` leaves them and makes nothing null.  Lines with more
+    fields than columns are ``bad_lines``: an ``error``, or left out (``skip``,
+    ``warn``); fields that a line lacks are missing values."""
+    if bad_lines not in ("error", "skip", "warn"):
+        raise ValueError(bad_lines)
+    more = "__more"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, more)])
     rows = spark.read.csv(
         path if isinstance(path, str) else list(path), schema=schema, sep="\t", header=True, encoding="UTF-8",
-        mode=mode, quote='"', escape='"', multiLine=False, enforceSchema=True,
+        mode="PERMISSIVE", quote='"', escape='"', multiLine=False, enforceSchema=True, nullValue="\u0000", emptyValue="",
     )
+    if bad_lines == "error":
+        first = F.when(F.col(more).isNull(), F.col(columns[0])).otherwise(F.raise_error(F.lit("a line has too many fields")))
+        rows = rows.withColumn(columns[0], first).drop(more)
+    else:
+        rows = rows.filter(F.col(more).isNull()).drop(more)
     if na_mode == "pandas":
         return rows.select(*(text.missing_texts_to_null(F.col(c)).alias(c) for c in columns))
     return rows.fillna("")
 
 
+def write_tsv(rows: DataFrame, path: str) -> None:
+    """A folder of tab-separated parts with a header each, as :func:`read_tsv`
+    reads them; null is empty."""
+    rows.write.mode("overwrite").csv(
+        path, sep="\t", header=True, quote='"', escape='"', emptyValue="", nullValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def read_training(spark: SparkSession, folder: str, **options) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """S1, S2, S3 and the truth of ``folder``."""
     s1, s2, s3 = (read_tsv(spark, f"{folder}/train_source{k}.tsv", **options) for k in (1, 2, 3))
@@ -70,7 +86,8 @@ def first_per_id(rows: DataFrame, order: Sequence[str]) -> DataFrame:
 def save_exact_index(forms: DataFrame, path: str) -> None:
     """The exact matcher's forms, sorted by their lookup keys within files: what
     an indexed database table is to point lookups."""
-    forms.repartition("country").sortWithinPartitions("country", "name", "address").write.mode("overwrite").parquet(path)
+    ordered = forms.repartitionByRange("country", "name", "address").sortWithinPartitions("country", "name", "address")
+    ordered.write.mode("overwrite").parquet(path)
 
 
 def read_exact_index(spark: SparkSession, path: str) -> DataFrame:
@@ -94,10 +111,20 @@ def write_lists(lists: DataFrame, path: str, line_sep: str = "\n") -> None:
         "lineSep", line_sep[-1]).text(path)
 
 
-def write_report(report: dict, path: str) -> None:
-    """JSON, indented by two, other scripts kept."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(report, f, indent=2, ensure_ascii=False)
+def write_report(report: dict, path: str, spark: SparkSession | None = None) -> None:
+    """JSON, indented by two, other scripts kept; with ``spark`` on any store
+    that it can write to, else on this machine."""
+    whole = json.dumps(report, indent=2, ensure_ascii=False)
+    if spark is None:
+        with open(path, "w", encoding="utf-8") as f:
+            f.write(whole)
+        return
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(where, True)
+    try:
+        out.write(bytearray(whole, "utf-8"))
+    finally:
+        out.close()
 
 
 def from_chunks(spark: SparkSession, chunks: Sequence[pd.DataFrame], columns: Sequence[str] = RECORD) -> DataFrame:
@@ -107,11 +134,26 @@ def from_chunks(spark: SparkSession, chunks: Sequence[pd.DataFrame], columns: Se
     return spark.createDataFrame(whole.astype("string").where(whole.notna(), None).values.tolist(), schema)
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the folder that driver and executors share
+    (``spark.checkpoint.dir``); where the session names none, a local master has
+    a folder of its own, and any other is an error."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = f"file://{tempfile.gettempdir()}/linkloom-{os.getuid()}"
+    return f"{shared.rstrip('/')}/linkloom-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the folder that driver and executors share
-    (``spark.checkpoint.dir``; a folder of our own only where none is set)."""
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/linkloom-{os.getuid()}"
-    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """``df`` as a Parquet table in the shared folder; :func:`drop_stored`
+    removes all that an application has stored."""
+    path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_path(spark, "x").rsplit("/", 1)[0])
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
