@@ -8,8 +8,9 @@ texts.  Counts combine before the shuffle, so a group of any size costs one row
 per task.  Rows meet their group again by hash and digest.
 
 The hashes that repeat and the groups are tables in the shared folder.  Spark
-knows their size from the files when it plans the joins with them: small ones
-are broadcast, larger ones are shuffled, and AQE splits a hot hash.
+knows the size of the first from its files when it plans the join: if small it
+is broadcast, else the texts are shuffled.  Rows and groups are always shuffled
+by hash and digest, at any size alike, and AQE splits a hot hash.
 
 The largest id of a group stays (``smallest=True``: the smallest).  Null ids
 lose against others; rows that repeat both id and text are one document and
@@ -79,7 +80,7 @@ def exact_dedup(
         rows = common.written(rows, "hashes")  # narrow rows: hash the texts once
     groups = common.written(groups_of(texts.select("id", "norm", "hash"), rows.select("hash"), smallest), "groups")
     return (
-        rows.join(groups, ["hash", "sha"], "left")
+        rows.join(groups.hint("merge"), ["hash", "sha"], "left")
         .withColumn("keep_id", F.coalesce("best", "id"))
         .select(
             *(F.col(o).alias(c) for o, c in zip(own, kept, strict=True)),
@@ -92,14 +93,25 @@ def exact_dedup(
 
 
 def first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` per text: :func:`exact_dedup` without what it drops,
-    and one of the rows that repeat both id and text."""
-    columns = docs.columns
-    renamed = docs.select(
-        *(common.quoted(c).alias(f"c{i}") for i, c in enumerate(columns)),
-        common.quoted(id_col).alias("own_id"), common.quoted(text_col).alias("own_text"))
-    found = exact_dedup(renamed, "own_id", "own_text").filter("kept")
-    lone = found.filter("group_size = 1")
-    # At most a few rows of each group are left here.
-    several = found.filter("group_size > 1").dropDuplicates(["text_sha256"])
-    return lone.unionByName(several).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
+    """One row of ``docs`` per text: the rows that :func:`exact_dedup` keeps, and
+    of those that repeat both id and text one."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    texts = docs.select(
+        *(common.quoted(c).alias(o) for o, c in zip(own, docs.columns, strict=True)),
+        common.quoted(id_col).alias("id"), normalised(common.quoted(text_col)).alias("norm"),
+    ).withColumn("hash", hash128(F.col("norm")))
+    rows = texts.select(*own, "id", "hash", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
+    key = ["hash", "sha"]
+    slim = common.written(rows.select("id", *key), "hashes")
+    groups = common.written(groups_of(texts.select("id", "norm", "hash"), slim.select("hash")), "groups")
+    stays = F.col("size").isNull() | F.col("id").eqNullSafe(F.col("best"))
+    again = common.written(
+        slim.join(groups.hint("merge"), key).filter(stays).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1").select(*key, F.lit(True).alias("again")), "again")
+    if again.isEmpty():
+        kept = rows.join(groups.hint("merge"), key, "left").filter(stays)
+    else:
+        marked = common.written(groups.join(again, key, "left"), "groups")
+        found = rows.join(marked.hint("merge"), key, "left").filter(stays)
+        kept = found.filter("again is null").unionByName(found.filter("again").dropDuplicates(key))
+    return kept.select(*(F.col(o).alias(c) for o, c in zip(own, docs.columns, strict=True)))
