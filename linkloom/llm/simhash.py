@@ -9,6 +9,10 @@ anchor within covering radius plus the block's threshold, 1 + 1 = 2.  If x and
 y differ in one bit of the block at most, y is within 2 of x's home, so they
 meet there, and all 64 bits are compared.
 
+``WIDE_BLOCKS`` has two blocks of 32 bits, of two coded parts and two free bits
+each, and a threshold of 2: about seven times the copies, and a fifteenth of the
+comparisons, for tables of more than some hundred million fingerprints.
+
 Equal fingerprints are one node before anything is replicated, and an anchor
 yields a spanning forest of its links, never all pairs.  Anchors with more than
 ``TILE`` homes are dealt out again as tiles of homes by visitors.  Links lead
@@ -23,6 +27,9 @@ position, so no column of the caller's can clash with them.
 
 from __future__ import annotations
 
+import functools
+import itertools
+import operator
 import re
 from collections.abc import Iterator, Sequence
 
@@ -37,8 +44,11 @@ from linkloom.llm import common
 from linkloom.llm.components import connected, rejoined
 
 SHINGLE, SEED, LIMIT = 4, 42, 4
-#: First bit and width of each block.
+#: First bit and width of each block; two linked fingerprints differ in at most
+#: ``LIMIT // len(blocks)`` bits of some block.  ``WIDE_BLOCKS`` is the finer cover.
 BLOCKS = ((0, 21), (21, 21), (42, 22))
+WIDE_BLOCKS = ((0, 32), (32, 32))
+Blocks = tuple[tuple[int, int], ...]
 _CODED = 15
 #: Homes of one anchor that one task holds; rows that are compared at a time.
 TILE, ROWS, PAIRS = 16_384, 1 << 17, 1 << 19
@@ -99,40 +109,60 @@ for _i in range(_CODED):
     _SYNDROME[np.arange(1 << _CODED) >> _i & 1 == 1] ^= _i + 1
 #: The one bit that leads from there to the nearest codeword.
 _CORRECTION = np.r_[0, 1 << np.arange(_CODED)][_SYNDROME]
-#: Pairs of bits whose flipping moves the syndrome by s, as flips of the coded bits.
-_TWO = [[] for _ in range(_CODED + 1)]
-for _i in range(_CODED):
-    for _j in range(_i):
-        _TWO[(_i + 1) ^ (_j + 1)].append(1 << _i | 1 << _j)
-
-
-def visits(block: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and anchors: all codewords within distance 2 of each value
-    that a flip of at most one of the value's bits can have as its home."""
-    coded, rest = block & ((1 << _CODED) - 1), block >> _CODED << _CODED
-    syndrome, rows = _SYNDROME[coded], np.arange(len(block))
-    home = coded ^ _CORRECTION[coded]
-    out_rows, out = [rows], [rest | home]
-    for k in range(_CODED, width):  # one flip among the free bits
-        out_rows.append(rows)
-        out.append((rest ^ (1 << k)) | home)
-    for s in range(1, _CODED + 1):  # one flip among the coded bits: codewords at distance 2
-        here = rows[syndrome == s]
-        for two in _TWO[s]:
-            out_rows.append(here)
-            out.append(rest[here] | (coded[here] ^ two))
+#: By how many flips beyond the home a codeword is reached, and by syndrome: the
+#: flips of the coded bits that lead to those codewords.
+_STEPS = [[[] for _ in range(_CODED + 1)] for _ in range(LIMIT)]
+for _level in range(LIMIT):
+    for _bits in itertools.combinations(range(_CODED), _level + 1):
+        _STEPS[_level][functools.reduce(operator.xor, (_i + 1 for _i in _bits))].append(sum(1 << _i for _i in _bits))
+_STEPS[0][0] = [0]
+
+
+def _homes(block: np.ndarray, width: int) -> np.ndarray:
+    """The nearest anchor: every coded part at its codeword."""
+    for p in range(width // _CODED):
+        block = block ^ _CORRECTION[block >> p * _CODED & ((1 << _CODED) - 1)] << p * _CODED
+    return block
+
+
+def visits(block: np.ndarray, width: int, threshold: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and anchors: all homes of the values that differ from each
+    value in at most ``threshold`` bits."""
+    parts = width // _CODED
+    free = [1 << k for k in range(parts * _CODED, width)]
+    syndromes = [_SYNDROME[block >> p * _CODED & ((1 << _CODED) - 1)] for p in range(parts)]
+    out_rows, out = [], []
+    for levels in itertools.product(range(threshold + 1), repeat=parts):
+        left = threshold - sum(levels)
+        if left < 0:
+            continue
+        found = [(np.arange(len(block)), block)]
+        for p, level in enumerate(levels):
+            if not level:
+                found = [(rows, at ^ _CORRECTION[at >> p * _CODED & ((1 << _CODED) - 1)] << p * _CODED) for rows, at in found]
+                continue
+            before, found = found, []
+            for rows, at in before:
+                for s, steps in enumerate(_STEPS[level]):
+                    here = syndromes[p][rows] == s
+                    if steps and here.any():
+                        own, own_at = rows[here], at[here]
+                        found += [(own, own_at ^ step << p * _CODED) for step in steps]
+        for n in range(left + 1):
+            for bits in itertools.combinations(free, n):
+                out_rows += [rows for rows, _ in found]
+                out += [at ^ sum(bits) for _, at in found]
     return np.concatenate(out_rows), np.concatenate(out)
 
 
-def replicate(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def replicate(values: np.ndarray, blocks: Blocks = BLOCKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor key, role (0 home, 1 visitor) and value, for signed longs."""
     bits = values.view(np.uint64)
     keys, roles, out = [], [], []
-    for k, (low, width) in enumerate(BLOCKS):
+    for k, (low, width) in enumerate(blocks):
         block = (bits >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
-        coded = block & ((1 << _CODED) - 1)
-        rows, anchors = visits(block, width)
-        keys += [block ^ _CORRECTION[coded] | k << 32, anchors | k << 32]
+        rows, anchors = visits(block, width, LIMIT // len(blocks))
+        keys += [_homes(block, width) | k << 32, anchors | k << 32]
         roles += [np.zeros(len(values), np.int8), np.ones(len(rows), np.int8)]
         out += [values, values[rows]]
     return np.concatenate(keys), np.concatenate(roles), np.concatenate(out)
@@ -262,14 +292,14 @@ def compare(batches: Iterator[pa.RecordBatch], final: bool) -> Iterator[pa.Recor
             yield from held.add(roles[n:], values[n:], final)
 
 
-def links(nodes: DataFrame, label: str = "simhash") -> DataFrame:
+def links(nodes: DataFrame, label: str = "simhash", blocks: Blocks = BLOCKS) -> DataFrame:
     """``u, v``: links that connect what is within ``LIMIT`` bits, among the
     distinct longs of column ``fp``."""
 
     def spread(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 4096):
-                key, role, fp = replicate(np.asarray(batch.slice(lo, 4096).column(0)))
+                key, role, fp = replicate(np.asarray(batch.slice(lo, 4096).column(0)), blocks)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(role), pa.array(fp)], names=["key", "role", "fp"])
 
     placed = nodes.select("fp").mapInArrow(spread, "key long, role byte, fp long")
@@ -297,12 +327,14 @@ def links(nodes: DataFrame, label: str = "simhash") -> DataFrame:
     return first.filter("role = 2").select("u", "v").union(again.mapInArrow(tiles, _LINKS).filter("role = 2").select("u", "v"))
 
 
-def components(rows: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", label: str = "simhash") -> DataFrame:
+def components(
+    rows: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", label: str = "simhash", blocks: Blocks = BLOCKS
+) -> DataFrame:
     """``fp, component_id, root`` for every distinct fingerprint of ``rows``; a
     root is one of its component's fingerprints."""
     nodes = common.written(
         rows.groupBy(common.quoted(fp_col).alias("fp")).agg(F.min(common.quoted(id_col)).alias("first_id")), label)
-    roots = connected(links(nodes, label), label)
+    roots = connected(links(nodes, label, blocks), label)
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -327,13 +359,14 @@ def _known(docs: DataFrame, kept: Sequence[str], id_col: str, text_col: str) ->
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] | None = None,
+    blocks: Blocks = BLOCKS,
 ) -> DataFrame:
     """``keep`` (default: all columns) with ``fingerprint`` (16 hex digits) and
     ``component_id``; input columns of these names give way."""
     kept = common.without(docs.columns if keep is None else keep, ["fingerprint", "component_id"])
     slim = _printed(docs, id_col, text_col)
-    named = slim.join(components(slim, "id"), "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
+    named = slim.join(components(slim, "id", blocks=blocks), "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0")))
     if [c.lower() for c in kept] == [id_col.lower()]:
         return named.select(F.col("id").alias(kept[0]), "fingerprint", "component_id")
     one = named.dropDuplicates(["id", "row"])
@@ -342,12 +375,14 @@ def near_duplicates(
     ).select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(kept)), "fingerprint", "component_id")
 
 
-def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def first_of_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: Blocks = BLOCKS
+) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of every component the
     smallest id that is not null, of equal ids one text.  Rows that repeat both
     id and text stay or go together."""
     slim = _printed(docs, id_col, text_col)
-    named = slim.join(components(slim, "id").select("fp", "root"), "fp").select("id", "row", "root").distinct()
+    named = slim.join(components(slim, "id", blocks=blocks).select("fp", "root"), "fp").select("id", "row", "root").distinct()
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
     first = named.groupBy("root").agg(F.min(order).alias("first")).select("root", "first.id", "first.row")
     others = common.written(

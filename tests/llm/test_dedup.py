@@ -144,18 +144,21 @@ def test_spark_hashes_alike(spark):
 
 def test_visitors_meet_every_home():
     rng = np.random.default_rng(2)
-    for _, width in simhash.BLOCKS:
-        y = rng.integers(0, 1 << width, 300)
-        rows, anchors = simhash.visits(y, width)
+    for width, threshold in ((21, 1), (22, 1), (32, 2), (32, 1), (16, 2)):
+        y = rng.integers(0, 1 << width, 60)
+        rows, anchors = simhash.visits(y, width, threshold)
         met = set(zip(rows.tolist(), anchors.tolist(), strict=True))
         assert len(met) == len(rows)
-        for flip in [0, *(1 << np.arange(width)).tolist()]:
+        bits = [0, *(1 << np.arange(width)).tolist()]
+        flips = {a ^ b for a in bits for b in bits} if threshold == 2 else set(bits)
+        for flip in flips:
             x = y ^ flip
-            home = x ^ simhash._CORRECTION[x & 0x7FFF]
+            home = simhash._homes(x, width)
             assert all((k, h) in met for k, h in enumerate(home.tolist()))
-            assert (np.bitwise_count((home ^ x).astype(np.uint64)) <= 1).all()
-        far = np.bitwise_count((y[rows] ^ anchors).astype(np.uint64))
-        assert far.max() <= 2
+            assert (np.bitwise_count((home ^ x).astype(np.uint64)) <= width // 15).all()
+        # No anchor is visited in vain: each is the home of a value within the threshold.
+        homes = {(k, h) for flip in flips for k, h in enumerate(simhash._homes(y ^ flip, width).tolist())}
+        assert met == homes
 
 
 def brute_components(values):
@@ -186,9 +189,9 @@ def close_values(seed, n):
     return [v - 2**64 if v >= 2**63 else v for v in values]
 
 
-def check_links(spark, values):
+def check_links(spark, values, blocks=simhash.BLOCKS):
     frame = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "doc_id long, fp long")
-    found = {r["fp"]: r["component_id"] for r in simhash.components(frame).collect()}
+    found = {r["fp"]: r["component_id"] for r in simhash.components(frame, blocks=blocks).collect()}
     first = {}
     roots = brute_components(values)
     for k, v in enumerate(values):
@@ -198,6 +201,7 @@ def check_links(spark, values):
 
 def test_components_equal_brute_force(spark):
     check_links(spark, close_values(5, 600))
+    check_links(spark, close_values(8, 300), simhash.WIDE_BLOCKS)
 
 
 def test_tiles_equal_brute_force(spark, monkeypatch):
