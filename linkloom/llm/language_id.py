@@ -37,14 +37,25 @@ from linkloom.llm import common
 
 SAMPLE, ALL_SAMPLES, LEAST, TERMS = 1000, 16_000, 8, 4096
 UNKNOWN = "und"
-#: Families of common languages; any other is a family of its own.
+#: Rows of a family that a machine between two families reads, evenly of its languages.
+FAMILY_SAMPLE = 2000
+# Families of languages by code; any other is a family of its own.
 FAMILIES = {
-    "germanic": "af da de en fy is lb nl nn no sv yi",
-    "romance": "ca es fr gl it la oc pt ro",
+    "austronesian": "ceb haw id jv mg mi ms sm su tl",
+    "baltic": "lt lv",
+    "bantu": "ln lg ny rn rw sn st sw tn ts xh zu",
+    "celtic": "br cy ga gd gv kw",
+    "dravidian": "kn ml ta te",
+    "germanic": "af da de en fo fy is lb nds nl nn no sv yi",
+    "indic": "as bn gu hi mr ne or pa sa sd si ur",
+    "iranian": "ckb fa ku os ps tg",
+    "romance": "ast ca es fr gl it la lmo oc pt ro sc scn",
+    "semitic": "am ar arz he mt ti",
+    "sinitic": "wuu yue zh",
     "slavic": "be bg bs cs hr mk pl ru sk sl sr uk",
-    "indic": "bn gu hi mr ne pa sa si ur",
-    "uralic": "et fi hu",
-    "turkic": "az kk ky tr tt ug uz",
+    "tai": "lo th",
+    "turkic": "az ba cv kk ky tk tr tt ug uz",
+    "uralic": "et fi hu se",
 }
 _FAMILY = {lang: name for name, langs in FAMILIES.items() for lang in langs.split()}
 
@@ -115,25 +126,28 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 150, strength: float = 300
     """Weights and bias for the squared hinge loss with labels +1 and -1, both
     classes weighing the same, by accelerated gradient steps."""
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(np.float32)
-    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     rate = 1.0 / (1.0 / strength + 4.0)
-    w = np.zeros(x1.shape[1], np.float32)
+    w = np.zeros(x.shape[1] + 1, np.float32)  # the last is the bias
     v = w.copy()
     for k in range(rounds):
-        gap = np.maximum(1 - y * (x1 @ v), 0)
-        step = v / strength - 2 * (x1.T @ (share * y * gap))
-        new = v - rate * step
+        pull = 2 * share * y * np.maximum(1 - y * (x @ v[:-1] + v[-1]), 0)
+        new = v - rate * (v / strength - np.r_[x.T @ pull, pull.sum()])
         v = new + (k / (k + 3)) * (new - w)
         w = new
     return w[:-1], float(w[-1])
 
 
-def _one_versus_one(names: Sequence[str], of: np.ndarray, x: np.ndarray) -> list[Machine]:
+def _one_versus_one(names: Sequence[str], of: np.ndarray, x: np.ndarray, most: int | None = None) -> list[Machine]:
+    """A machine for every two of ``names``, from at most ``most`` rows of each."""
+    rows = {}
+    for name in names:
+        own = np.flatnonzero(of == name)
+        rows[name] = own[:: -(-len(own) // most)] if most and len(own) else own
     machines = []
     for i, a in enumerate(names):
         for b in names[i + 1 :]:
-            own = (of == a) | (of == b)
-            weights, bias = train(x[own], np.where(of[own] == a, 1, -1).astype(np.float32))
+            own = np.sort(np.concatenate([rows[a], rows[b]]))
+            weights, bias = train(x[own].astype(np.float32), np.where(of[own] == a, 1, -1).astype(np.float32))
             machines.append(Machine(a, b, weights, bias))
     return machines
 
@@ -144,7 +158,7 @@ def fit_vectors(x: np.ndarray, langs: Sequence[str]) -> Model:
     names = sorted(set(family))
     members = {f: sorted(set(of[family == f])) for f in names}
     model = Model(names, members)
-    model.between = _one_versus_one(names, family, x)
+    model.between = _one_versus_one(names, family, x, FAMILY_SAMPLE)
     model.within = {f: _one_versus_one(members[f], np.where(family == f, of, None), x) for f in names}
     return model
 
@@ -190,7 +204,7 @@ def fit(
         chosen, "__text", make, [T.StructField("w", T.BinaryType())], ["__id", "__lang"], as_bytes=True
     ).groupBy("__id", "__lang").agg(F.min("w").alias("w")).collect()
     found.sort(key=lambda r: (r["__lang"], r["__id"]))
-    x = np.array([np.frombuffer(r["w"], "<f2") for r in found], dtype=np.float32).reshape(-1, TERMS)
+    x = np.array([np.frombuffer(r["w"], "<f2") for r in found], dtype=np.float16).reshape(-1, TERMS)
     return fit_vectors(x, [r["__lang"] for r in found])
 
 
