@@ -78,7 +78,10 @@ def write_tokens(
 ) -> None:
     """Writes the images of all documents to the new folder ``path``."""
     rows = docs.select(common.quoted(id_col).cast("long").alias("id"), common.quoted(text_col).cast("string").alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
+    # Rows that repeat an id, as null, are dealt into several ranges too.
+    order = ["id", "hash", "number"]
+    keyed = rows.select("id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("number"))
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
     ordered.mapInArrow(
         lambda batches: _images(batches, vocabulary, end_id), "part int, seq int, n_tokens long, image binary"
     ).write.parquet(path)
