@@ -89,10 +89,15 @@ def match_exact_unambiguous(
 
 def first_records(records: DataFrame) -> DataFrame:
     """One record per id: the smallest, so that repeated ids are decided the
-    same way in every run."""
+    same way in every run.  Ids are counted first; where none repeats, as should
+    be, the records are not touched."""
+    repeated = records.groupBy("entity_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("entity_id")
+    if repeated.isEmpty():
+        return records
     rest = [c for c in records.columns if c != "entity_id"]
-    return records.groupBy("entity_id").agg(F.min(F.struct(*rest)).alias("r")).select(
-        "entity_id", *(F.col("r")[c].alias(c) for c in rest))
+    several = records.join(repeated, "entity_id", "left_semi").groupBy("entity_id").agg(F.min(F.struct(*rest)).alias("r"))
+    return records.join(repeated, "entity_id", "left_anti").unionByName(
+        several.select("entity_id", *(F.col("r")[c].alias(c) for c in rest)))
 
 
 def with_records(pairs: DataFrame, s1: DataFrame, s23: DataFrame, how: str = "inner") -> DataFrame:

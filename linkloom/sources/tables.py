@@ -30,7 +30,8 @@ def read_tsv(
     """Strings only.  ``na_mode='pandas'`` makes the usual texts for missing
     values null, ``'text'`` leaves them and makes nothing null.  Lines with more
     fields than columns are ``bad_lines``: an ``error``, or left out (``skip``,
-    ``warn``); fields that a line lacks are missing values."""
+    ``warn``), but for one more that is empty; fields that a line lacks are
+    missing values."""
     if bad_lines not in ("error", "skip", "warn"):
         raise ValueError(bad_lines)
     more = "__more"

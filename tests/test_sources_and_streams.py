@@ -1,6 +1,7 @@
 import json
 
 import pandas as pd
+import pytest
 
 from linkloom.operators import blocking, matching
 from linkloom.sources import tables
@@ -23,7 +24,21 @@ def test_read_tsv(spark, tmp_path):
     assert [f.count() for f in tables.read_training(spark, str(tmp_path))] == [1, 1, 1, 1]
     assert [f.count() for f in tables.read_test(spark, str(tmp_path))] == [0, 0, 0]
     (tmp_path / "bad.tsv").write_text(HEAD + "S1-1\ta\tb\tc\nS1-2\ta\tb\tc\textra\n")
-    assert tables.read_tsv(spark, str(tmp_path / "bad.tsv"), bad_lines="skip").count() >= 1
+    (tmp_path / "bad.tsv").write_text(HEAD + "S1-1\ta\tb\tc\nS1-2\ta\tb\tc\textra\nS1-3\ta\nS1-4\ta\tb\tc\t\nS1-5\ta\tb\tc\td\te\n")
+    for bad in ("skip", "warn"):
+        rows = tables.read_tsv(spark, str(tmp_path / "bad.tsv"), bad_lines=bad).collect()
+        assert {tuple(r) for r in rows} == {("S1-1", "a", "b", "c"), ("S1-3", "a", "", ""), ("S1-4", "a", "b", "c")}
+    with pytest.raises(Exception, match="too many fields"):
+        tables.read_tsv(spark, str(tmp_path / "bad.tsv")).collect()
+
+
+def test_write_tsv_round_trip(spark, tmp_path):
+    rows = [("S1-1", ' "q" and ""', "a, b'", None), ("S1-2", "", " lead", "x"), ("S1-3", "NA", "\\ back", "#")]
+    tables.write_tsv(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"), str(tmp_path / "t"))
+    found = {tuple(r) for r in tables.read_tsv(spark, str(tmp_path / "t")).collect()}
+    assert found == {tuple(x or "" for x in r) for r in rows}
+    missing = {r["entity_id"]: r for r in tables.read_tsv(spark, str(tmp_path / "t"), na_mode="pandas").collect()}
+    assert missing["S1-3"]["business_name"] is None and missing["S1-1"]["country"] is None and missing["S1-2"]["business_name"] is None
 
 
 def test_write_lists(spark, tmp_path):
