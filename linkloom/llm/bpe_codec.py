@@ -26,6 +26,9 @@ DIGESTS = (
     T.StructField("decoded_sha256", T.StringType()),
 )
 
+#: Bytes of a worker's memory of words, per generation; workers keep it between stages.
+MEMORY = 24 << 20
+
 _MADE: dict[str, wordbpe.Remembered] = {}
 
 
@@ -42,7 +45,7 @@ def _remembered(path: str) -> wordbpe.Remembered:
             return [(len(ids), b"".join([binary[i] for i in ids]), b" ".join([decimal[i] for i in ids]),
                      b" ".join([token[i] for i in ids])) for ids in bpe.encode(words)]
 
-        _MADE[path] = wordbpe.Remembered(made, lambda e: 200 + 14 * e[0])
+        _MADE[path] = wordbpe.Remembered(made, lambda e: 200 + 14 * e[0], MEMORY)
     return _MADE[path]
 
 
