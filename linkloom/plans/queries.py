@@ -137,7 +137,7 @@ def rare_address_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM rec r JOIN cand c ON r.entity_id = c.candidate_entity_id"""))
 def needed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
-    return blocking.needed_records(s23, blocking.candidates(s1, s23))
+    return blocking.needed_records(s23, blocking.candidate_ids(s1, s23))
 
 
 # -- normal forms ----------------------------------------------------------
@@ -496,7 +496,7 @@ SELECT count(*) AS n_ids, sum(n_true)::BIGINT AS true_pairs, sum(n_hit)::BIGINT
     round(sum(n_pred)::DOUBLE / count(*), 6) AS average_candidates FROM counted"""))
 def blocking_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
-    return _rounded(evaluation.blocking_recall(_ids(s1), R.truth(spark, sf_dir), blocking.candidates(s1, s23)))
+    return _rounded(evaluation.blocking_recall(_ids(s1), R.truth(spark, sf_dir), blocking.blocks(s1, s23)))
 
 
 @query(_with(f"found AS ({_BY_STRATEGY}), grid AS (SELECT unnest([{_STRATEGIES}]) AS kind)", O.macro("found", "kind"), then="""
@@ -509,8 +509,8 @@ SELECT kind AS strategy, sum(n_true)::BIGINT AS true_matches, sum(n_hit)::BIGINT
     round(sum(n_pred)::DOUBLE / count(*), 6) AS average_candidates_per_s1 FROM counted GROUP BY kind"""))
 def strategy_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
-    pairs = blocking.by_strategy(s1, s23)
-    return _rounded(evaluation.strategy_recall(_ids(s1), R.truth(spark, sf_dir), pairs, blocking.NAME_STRATEGIES))
+    found = blocking.strategy_blocks(s1, s23)
+    return _rounded(evaluation.strategy_recall(_ids(s1), R.truth(spark, sf_dir), found, blocking.NAME_STRATEGIES))
 
 
 @query(_with("""hit AS (SELECT a.word <> '' AND a.word = b.word AS n, list_has_any(a.awords, b.awords) AS a
@@ -528,7 +528,8 @@ def key_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     (SELECT count(*) FROM ({O.block_pairs('exact_address')})) AS matches"""))
 def processing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     s1, s23 = R.sides(spark, sf_dir)
-    return evaluation.totals(s1, blocking.candidates(s1, s23), blocking.candidates(s1, s23, kinds=["exact_address"]))
+    forms = blocking.normal_forms(s1, s23)
+    return evaluation.totals(s1, blocking.blocks(s1, s23, forms=forms), blocking.blocks(s1, s23, kinds=["exact_address"], forms=forms))
 
 
 # -- profiles --------------------------------------------------------------
