@@ -81,8 +81,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     labels = common.table(spark, sf_dir, "labels").filter(common.bucket_of(F.col("doc_id"), 3) != 1)
-    bands = fertility.learn(docs, labels, VOCABULARIES)
-    return fertility.judge(docs, VOCABULARIES, bands, keep=["doc_id"])
+    measured = common.written(fertility.measures(docs, VOCABULARIES, keep=["doc_id"]), "measures")
+    return fertility.judge_from(measured, VOCABULARIES, fertility.learn_from(measured, VOCABULARIES, labels), ["doc_id"])
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

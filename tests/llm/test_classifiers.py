@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom.llm import common, fertility, language_id, quality, queries, simhash
 
@@ -378,6 +379,25 @@ def test_rules_and_edges(spark):
     assert not no_lang.by_lang and fertility.judge(docs, queries.VOCABULARIES, no_lang, lang_col=None).filter("doc_id = 1 and kept").count() == 2
 
 
+def test_bands_are_learnt_from_all_clean_rows(spark):
+    """Beyond a thousand rows of a language, the last of which is the furthest off."""
+    rng = random.Random(5)
+    n = 2500
+    rows = [(k, "en", False, rng.randint(60, 4000), "Latin") for k in range(n)]
+    value = lambda k, t: 2 + 0.3 * math.log2(t) + rng.gauss(0, 3) / math.sqrt(t) + (9.0 if k == n - 1 else 0.0)
+    rows = [(*r[:4], *(value(r[0], r[3]) for _ in range(3)), r[4]) for r in rows]
+    for furthest in (n - 1, 0, n // 2):  # wherever a sample by id would look
+        own = [(furthest if r[0] == n - 1 else n - 1 if r[0] == furthest else r[0], *r[1:]) for r in rows]
+        frame = spark.createDataFrame(own, "id long, lang string, base_failed boolean, n_tokens_0 long, chars_per_token_0 double,"
+                                      " byte_share_0 double, token_entropy_0 double, script string").withColumn("word_chars", F.lit(0))
+        labels = spark.createDataFrame([(r[0], 1) for r in own], "doc_id long, quality int")
+        bands = fertility.learn_from(frame, ["one"], labels)
+        for band in (bands.by_lang["en"], bands.by_script["Latin"]):
+            for k, m in enumerate(fertility.MEASURES):
+                want = fertility.limit_of(np.array([r[3] for r in own], float), np.array([r[4 + k] for r in own]), fertility.FLOORS[m])
+                assert list(vars(band[0, m]).values()) == pytest.approx(list(vars(want).values()), rel=1e-5, abs=1e-7)
+
+
 def test_scripts():
     for text, script in (("abc", "Latin"), ("été", "Latin"), ("привет a", "Cyrillic"), ("漢字仮名", "Han"), ("123 !", "other"), ("", "other")):
         assert fertility.script_of(text) == script
