@@ -498,8 +498,8 @@ SELECT threshold, tp, fp, fn, blocked_out, round(p, 6) AS precision, round(r, 6)
     round(CASE WHEN p + r > 0 THEN 1.25 * p * r / (0.25 * p + r) ELSE 0.0 END, 6) AS f05,
     round(CASE WHEN tp + fn + blocked_out = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fn + blocked_out) END, 6) AS full_recall FROM pr"""))
 def pair_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores, _ = _word_scores(spark, sf_dir)
-    return _rounded(evaluation.pair_measures(R.truth(spark, sf_dir), scores, "score"))
+    scores, found = _word_scores(spark, sf_dir)
+    return _rounded(evaluation.pair_measures(R.truth(spark, sf_dir), scores, "score", found=found))
 
 
 @query(_with(O.blocks(5000, 2), O.macro("cand"), then="""
