@@ -7,8 +7,8 @@ Parquet file, so that Spark's writer commits it on any file system and a retry
 leaves no half of it; ``part, seq`` order the images as the documents.
 
 The encoder is the tokenizers library, given the texts in words cut at ASCII
-white space (see :mod:`linkloom.llm.wordbpe`), each distinct word once per
-worker's memory.  A null or empty text has the end id alone; a long one is
+white space (see :mod:`linkloom.llm.wordbpe`), each distinct word, less the
+punctuation behind it, once per worker's memory.  A null or empty text has the end id alone; a long one is
 encoded about a megabyte at a time.  Null ids come first; rows that repeat an id
 are ordered by a hash of their text and each have a place of their own.  An
 empty table gives no images.  Columns beyond id and text are not read, whatever
@@ -39,7 +39,7 @@ def _memory(path: str) -> wordbpe.Remembered:
     """The library's codes of each word, as binary."""
     if path not in _MADE:
         bpe = wordbpe.load(path)
-        _MADE[path] = wordbpe.Remembered(bpe.encode_by_library, len)
+        _MADE[path] = wordbpe.remembered_parts(bpe.encode_by_library)
     return _MADE[path]
 
 

@@ -33,6 +33,8 @@ BATCHED = 64
 MEMORY, LONGEST = 64 << 20, 64
 #: Bytes of text that are lists of words at a time.
 WINDOW = 1 << 20
+#: Words that are one text for the library.
+TOGETHER = 1000
 _NONE = np.int64(2**62)
 _POS_BITS = 7
 _MARK = "\x01"
@@ -122,8 +124,9 @@ class WordBpe:
         known.update(zip(plain, self.merge(plain) if plain else [], strict=True))
         return [known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]] for pieces in split]
 
-    def _library_ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _library_ids(self, *texts: str) -> np.ndarray:
+        found = self.library.encode_batch_fast(list(texts), add_special_tokens=False)
+        return np.concatenate([np.array(f.ids, dtype="<u4") for f in found])
 
     def encode_by_library(self, words: list[bytes]) -> list[bytes]:
         """Codes of each word as little-endian unsigned 32-bit integers, by the
@@ -135,7 +138,9 @@ class WordBpe:
         texts = [w.decode("utf-8", "replace") for w in words]
         out = [b""] * len(words)
         single = [k for k, t in enumerate(texts) if t.isalpha()]
-        ids = self._library_ids(" ".join([texts[k] for k in single]))
+        alpha = [texts[k] for k in single]
+        # The library is slower on a longer text.
+        ids = self._library_ids(*(" ".join(alpha[k : k + TOGETHER]) for k in range(0, max(1, len(alpha)), TOGETHER)))
         ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
         if len(ends) == len(single):
             raw = ids.tobytes()
@@ -310,7 +315,7 @@ class Remembered:
             if unseen:
                 made.update(zip(unseen, self.make(unseen), strict=True))
             for word, value in made.items():
-                if len(word) <= LONGEST:
+                if len(word) <= LONGEST and word not in self.young:
                     self.young[word] = value
                     self.held += 150 + len(word) + self.weigh(value)
             for words, own, f in zip(lists, holes, found, strict=True):
@@ -319,6 +324,36 @@ class Remembered:
         return found
 
 
+#: ASCII punctuation that is a piece apart from a letter before it, whatever follows:
+#: an apostrophe may begin an ending, and control tokens hold the others.
+_TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
+
+
+def in_parts(word: bytes) -> tuple[bytes, bytes]:
+    """A word up to its last letter, and the punctuation behind it, where that is
+    a letter of ASCII.  The normal form reaches across neither, and no piece
+    holds both; ASCII letters alone are in lower case, as normal forms are."""
+    core = word.rstrip(_TAIL)
+    if len(core) < len(word) and not core[-1:].isalpha():
+        core = word
+    return core.lower() if core.isalpha() else core, word[len(core) :]
+
+
+def remembered_parts(make: Callable[[list[bytes]], list[bytes]]) -> Remembered:
+    """What ``make`` makes of words, made of their parts, which are remembered too."""
+
+    def joined(words: list[bytes]) -> list[bytes]:
+        split = [in_parts(w) for w in words]
+        if all(c == w for (c, _), w in zip(split, words, strict=True)):
+            return make(words)
+        cores, tails = memory.look([[c for c, _ in split], [t for _, t in split if t]])
+        rest = iter(tails)
+        return [found + next(rest) if tail else found for found, (_, tail) in zip(cores, split, strict=True)]
+
+    memory = Remembered(joined, len)
+    return memory
+
+
 def looked_up(memory: Remembered, texts: Iterable[bytes | None]) -> Iterator[tuple[int, list]]:
     """Number of the text and what was made of its words, in order; a long text
     comes in several turns, and about ``WINDOW`` bytes are held at a time."""

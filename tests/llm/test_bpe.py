@@ -76,6 +76,25 @@ def test_memory_forgets_but_stays_right():
         assert sum(150 + 2 * len(w) for w in memory.young) == memory.held <= 1000 + 27 * 400
 
 
+def test_words_are_made_of_their_parts():
+    """A word that differs from one before in case or in the punctuation behind it asks nothing of the library."""
+    asked = []
+    memory = wordbpe.remembered_parts(lambda ws: asked.extend(ws) or BPE.encode_by_library(ws))
+    rng = random.Random(9)
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    cores = ["a", "Word", "WORD", "é", "Straße", "don't", "it's", "x1", "1", "K", "a\u0301", "a\u0338", "’s", "<|endoftext|>a", "<|", "ΑΣ", "İi"]
+    words = [c + m + n for c in cores for m in ["", *marks] for n in ["", rng.choice(marks), "'s", "a", "\u0338"]]
+    words += [m + c + n for c in cores for m in marks for n in ["", m, "..."]] + ["".join(rng.choices(marks, k=4)) for _ in range(300)]
+    for lo in range(0, len(words), 97):
+        own = words[lo : lo + 97]
+        found = memory.look([[w.encode() for w in own]])[0]
+        assert [np.frombuffer(f, "<u4").tolist() for f in found] == [library(w) for w in own]
+    assert len(asked) == len(set(asked)) < len(set(words))
+    asked.clear()
+    memory.look([[b"Lower", b"lower,", b"LOWER.)", b"lower,"]])
+    assert set(asked) - {b",", b".)"} == {b"lower"}
+
+
 def test_long_texts_come_in_windows(monkeypatch):
     monkeypatch.setattr(wordbpe, "WINDOW", 50)
     rng = random.Random(4)
