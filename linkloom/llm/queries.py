@@ -31,8 +31,8 @@ END_ID = 2
 URL_RULES = {
     "com/en/": "block",
     "example.com/en/7": "allow",
-    "net/de/": "block",
-    "example.net/de/8": "allow",
+    "net/de/": "allow",
+    "example.net/de/8": "block",
     "org/es/": "block",
 }
 
